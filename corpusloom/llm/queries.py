@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, host_rules, media, mixing, oracles, simhash
+from . import bpe, chat, host_rules, media, mixing, oracles, simhash
 from .common import documents
 
 
@@ -16,6 +16,10 @@ def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(documents(spark, sf_dir))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(documents(spark, sf_dir))
     return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -40,7 +44,7 @@ def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op3_host_rules, op6_simhash, op7_chat, op8_mixing, op9_media]
+    found = [op3_host_rules, op5_bpe, op6_simhash, op7_chat, op8_mixing, op9_media]
     return {f.__name__: f for f in found}
 
 
