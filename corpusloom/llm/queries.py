@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, host_rules, media, mixing, oracles, simhash
+from . import bpe, chat, host_rules, media, mixing, oracles, simhash, suffix
 from .common import documents
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.deduplicate(documents(spark, sf_dir))
+
+
 def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = host_rules.apply(documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -44,7 +48,7 @@ def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op3_host_rules, op5_bpe, op6_simhash, op7_chat, op8_mixing, op9_media]
+    found = [op1_suffix_dedup, op3_host_rules, op5_bpe, op6_simhash, op7_chat, op8_mixing, op9_media]
     return {f.__name__: f for f in found}
 
 
