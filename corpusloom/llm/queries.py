@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, host_rules, media, mixing, oracles, simhash, suffix
+from . import bpe, bradley_terry, chat, host_rules, media, mixing, oracles, simhash, suffix, toxicity
 from .common import documents
 
 
@@ -15,6 +15,14 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.deduplicate(documents(spark, sf_dir))
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bradley_terry.score(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = host_rules.apply(documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -47,8 +55,12 @@ def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.features(media.store(documents(spark, sf_dir)))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_suffix_dedup, op3_host_rules, op5_bpe, op6_simhash, op7_chat, op8_mixing, op9_media]
+    found = [op1_suffix_dedup, op2_quality, op3_host_rules, op5_bpe, op6_simhash, op7_chat, op8_mixing, op9_media, op10_toxicity]
     return {f.__name__: f for f in found}
 
 
