@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, bradley_terry, chat, host_rules, media, mixing, oracles, simhash, suffix, toxicity
+from . import bpe, bradley_terry, chat, host_rules, media, mixing, oracles, paragraphs, simhash, suffix, toxicity
 from .common import documents
 
 
@@ -28,6 +28,10 @@ def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.duplicates(documents(spark, sf_dir))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir))
 
@@ -60,7 +64,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_suffix_dedup, op2_quality, op3_host_rules, op5_bpe, op6_simhash, op7_chat, op8_mixing, op9_media, op10_toxicity]
+    found = [op1_suffix_dedup, op2_quality, op3_host_rules, op4_paragraphs, op5_bpe, op6_simhash, op7_chat, op8_mixing, op9_media, op10_toxicity]
     return {f.__name__: f for f in found}
 
 
