@@ -130,11 +130,12 @@ def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray
 def mix(
     docs: DataFrame, id: str = "doc_id", source: str = "source", text: str = "text", seed: int = 42, most: int = 3
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target and taken (words, repeats counted) of every row."""
+    """doc_id, source, size, source_size, target, times and taken (words, repeats counted) of every row, and ``content``, a hash of its text."""
     sized = docs.select(
         F.col(id).alias("doc_id"),
         F.col(source).alias("source"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.xxhash64(F.col(text)).alias("content"),
     )
     draw = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source"))
     sized = sized.withColumn("draw", draw).withColumn("slice", F.shiftrightunsigned("draw", 56).cast("int"))
@@ -175,7 +176,7 @@ def mix(
     )
     on = sized["source"].eqNullSafe(slices["s_source"]) & (sized["size"] == slices["s_size"]) & (sized["slice"] == slices["s_slice"])
     joined = sized.join(slices, on)
-    columns = ["doc_id", "source", "size", "times", "draw", "slice", "want", "docs"]
+    columns = ["doc_id", "source", "size", "content", "times", "draw", "slice", "want", "docs"]
     sure = joined.where((F.col("want") == 0) | (F.col("want") == F.col("docs"))).select(*columns)
     sure = sure.withColumn("more", (F.col("want") > 0).cast("int"))
     edge = joined.where((F.col("want") > 0) & (F.col("want") < F.col("docs"))).select(*columns)
@@ -183,7 +184,18 @@ def mix(
     edge = edge.withColumn("more", (rank <= F.col("want")).cast("int"))
     out = sure.unionByName(edge)
     out = out.join(plan_key, out["source"].eqNullSafe(plan_key["plan_source"]))
-    return out.select(
-        "doc_id", "source", "size", "source_size", "target",
-        (F.col("size") * F.least(F.col("times") + F.col("more"), F.lit(most))).cast("long").alias("taken"),
-    )
+    times = F.when(F.col("size") > 0, F.least(F.col("times") + F.col("more"), F.lit(most))).otherwise(0)
+    out = out.withColumn("times", times.cast("int")).withColumn("taken", F.col("size") * F.col("times"))
+    return out.select("doc_id", "source", "size", "source_size", "target", "times", "taken", "content")
+
+
+def take(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str = "text", seed: int = 42, most: int = 3) -> DataFrame:
+    """The mix itself: the documents, all their columns, each as often as it is taken.
+
+    Rows that share id and text are all taken as often as the one of them that is taken most.
+    """
+    mixed = mix(docs, id, source, text, seed, most).where("times > 0")
+    times = mixed.groupBy(F.col("doc_id").alias("_id"), F.col("content").alias("_content")).agg(F.max("times").alias("_times"))
+    on = docs[id].eqNullSafe(times["_id"]) & (F.xxhash64(docs[text]) == times["_content"])
+    copies = docs.join(times, on).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return copies.select(*(docs[c] for c in docs.columns))

@@ -118,11 +118,45 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", radius: int = 2) -> DataFrame:
-    """id, fp and component_id (the least id reachable) of every row."""
+    """id, fp, root (a fingerprint of the component) and component_id (the least id reachable) of every row."""
     prints = checkpoint(fingerprints(docs, id, text))
     classes = checkpoint(prints.groupBy("fp").agg(F.min("id").alias("least")))
     found = components(links(classes, radius))
     rooted = classes.join(found.toDF("fp", "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(named, "fp", "left").select("id", "fp", "component_id")
+    named = rooted.join(least, "root").select("fp", "root", "component_id")
+    return prints.join(named, "fp", "left").select("id", "fp", "root", "component_id")
+
+
+def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", radius: int = 2) -> DataFrame:
+    """The documents, all their columns, of which each near-duplicate component keeps the one of least id.
+
+    Ids are compared, not texts, unless an id has several rows: then the row of the least fingerprint stays,
+    and one of rows that share that too. Null ids come last within a component.
+    """
+    found = checkpoint(near_duplicates(docs, id, text, radius))
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp")).alias("f"))
+    chosen = first.select(F.col("f.id").alias("k_id"), F.col("f.fp").alias("k_fp"))
+    rows = found.groupBy("id").agg(F.count(F.lit(1)).alias("k_rows")).withColumnRenamed("id", "r_id")
+    chosen = checkpoint(chosen.join(rows, F.col("k_id").eqNullSafe(F.col("r_id"))).drop("r_id"))
+    alone = chosen.where("k_rows = 1").select("k_id")
+    out = docs.join(alone, docs[id].eqNullSafe(alone["k_id"]), "left_semi")
+    many = chosen.where("k_rows > 1").select("k_id", "k_fp")
+    if many.isEmpty():
+        return out
+    several = docs.join(many.select("k_id").distinct(), docs[id].eqNullSafe(F.col("k_id")), "left_semi")
+    printed = _with_fingerprint(several, text)
+    same = printed[id].eqNullSafe(many["k_id"]) & (printed["_fp"] == many["k_fp"])
+    kept = printed.join(many, same, "left_semi").dropDuplicates([id, "_fp"]).select(*docs.columns)
+    return out.unionByName(kept)
+
+
+def _with_fingerprint(docs: DataFrame, text: str, words: int = 3) -> DataFrame:
+    names, at = docs.columns, docs.columns.index(text)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        values = np.array([fingerprint(x, words) for x in utf8(batch.column(at))], np.uint64).view(np.int64)
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.int64())], [*names, "_fp"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return map_arrow(docs, names, run, f"{fields}, _fp long")

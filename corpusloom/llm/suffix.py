@@ -466,50 +466,85 @@ def merged_spans(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.
     return starts[cut], stops[np.r_[cut[1:] - 1, len(starts) - 1]]
 
 
-def _finish(with_text: bool):
-    fields = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
-    schema = pa.schema(fields + [("source_text", pa.string()), ("kept_text", pa.string())] * with_text)
+def _finish(schema: pa.Schema, sql: str, columns: list[str]):
+    """Rows of the shard's documents with what is left of them; ``columns`` are passed on, the text cut."""
 
     def run(docs: pa.Table, removed: pa.Table) -> pa.Table:
         if not docs.num_rows:
-            return _table([], schema)
-        ids, texts, counts = _rows(docs)
-        starts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+            return schema.empty_table()
+        ids, texts, _ = _rows(docs)
+        spans: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         if removed.num_rows:
             row = np.concatenate([np.frombuffer(x, np.int32) for x in removed.column("rows").to_pylist()])
             start = np.concatenate([np.frombuffer(x, np.int64) for x in removed.column("starts").to_pylist()])
             stop = start + np.concatenate([np.frombuffer(x, np.int32) for x in removed.column("counts").to_pylist()]) + LENGTH - 1
-            starts = {r: merged_spans(start[m], stop[m]) for r, m in _groups(row)}
-        out = []
-        for r, (i, text, times) in enumerate(zip(ids, texts, counts)):
-            begins, ends = starts.get(r, ((), ()))
+            spans = {r: merged_spans(start[m], stop[m]) for r, m in _groups(row)}
+        left: dict[tuple, tuple] = {}
+        for r, (i, text) in enumerate(zip(ids, texts)):
+            begins, ends = spans.get(r, ((), ()))
             parts, at = [], 0
             for b, e in zip(begins, ends):
                 parts.append(text[at:b])
                 at = e
             parts.append(text[at:])
-            kept = b"".join(parts)
-            line = (i, len(text), len(text) - len(kept), len(begins), hashlib.sha256(kept).hexdigest())
-            if with_text:
-                # a character that lost some of its bytes goes as a whole
-                line += (text.decode("utf-8", "replace"), kept.decode("utf-8", "ignore"))
-            out.extend([line] * times)
-        return _table(out, schema)
-
-    sql = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return run, sql + ", source_text string, kept_text string" * with_text
-
-
-def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", with_text: bool = False, hot: int = HOT) -> DataFrame:
-    """One row for each document: bytes, bytes removed, spans, hash of what is left (and the texts if asked for)."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+            left[i, text] = (b"".join(parts), len(begins))
+        kept = [left[row] for row in zip(docs.column("doc_id").to_pylist(), [x or b"" for x in docs.column("text").cast(pa.binary()).to_pylist()])]
+        if columns:
+            # a character that lost some of its bytes goes as a whole; a null text stays null
+            nulls = docs.column("text").is_null().to_pylist()
+            cut = pa.array([None if n else k[0].decode("utf-8", "ignore") for k, n in zip(kept, nulls)], pa.string())
+            return pa.table([cut if c == "text" else docs.column(c) for c in columns], names=columns)
+        sizes = [len(x or b"") for x in docs.column("text").cast(pa.binary()).to_pylist()]
+        return pa.table(
+            [
+                docs.column("doc_id"), pa.array(sizes, pa.int64()), pa.array([n - len(k[0]) for n, k in zip(sizes, kept)], pa.int64()),
+                pa.array([k[1] for k in kept], pa.int64()), pa.array([hashlib.sha256(k[0]).hexdigest() for k in kept], pa.string()),
+            ],
+            schema=schema,
+        )
+
+    return run, sql
+
+
+def _passes(rows: DataFrame, hot: int, finish) -> DataFrame:
+    """The five passes over rows with doc_id and text; the shuffled documents are read three times."""
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(shuffle_partitions(spark), -(-int(total) // SHARD_BYTES))
+    shards = max(shuffle_partitions(rows.sparkSession), -(-int(total) // SHARD_BYTES))
     sharded = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("long"))
-    by_shard = sharded.groupBy("shard")
-    survey = by_shard.applyInArrow(*_survey(shards))
+    survey = sharded.groupBy("shard").applyInArrow(*_survey(shards))
     shared = survey.groupBy("target").applyInArrow(*_shared(hot))
     cut = sharded.groupBy("shard").cogroup(shared.groupBy("shard")).applyInArrow(*_cut(shards))
     removed = cut.groupBy("target").applyInArrow(*_resolve())
-    return sharded.groupBy("shard").cogroup(removed.groupBy("shard")).applyInArrow(*_finish(with_text))
+    return sharded.groupBy("shard").cogroup(removed.groupBy("shard")).applyInArrow(*finish)
+
+
+_DIGEST = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+
+
+def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
+    """One row for each document: bytes, bytes removed, spans and the hash of what is left."""
+    rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+    schema = pa.schema([(x.split()[0], k) for x, k in zip(_DIGEST.split(", "), kinds)])
+    return _passes(rows, hot, _finish(schema, _DIGEST, []))
+
+
+def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
+    """The documents, all their columns, with repeated bytes cut from ``text``; ids are in ``doc_id``.
+
+    Characters that lose some of their bytes go as a whole. A document of which nothing is left stays,
+    with an empty text.
+    """
+    columns = docs.columns
+    shard = "shard"
+    rows = docs
+    renamed = {c: f"_{c}" for c in columns if c == shard}
+    for old, new in renamed.items():
+        rows = rows.withColumnRenamed(old, new)
+    rows = rows.withColumn("doc_id", F.col("doc_id").cast("long"))
+    names = rows.columns
+    sql = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    out = _passes(rows, hot, _finish(to_arrow_schema(rows.schema), sql, names))
+    return out.select(*(F.col(renamed.get(c, c)).alias(c) for c in columns))
