@@ -39,8 +39,8 @@ from .common import shuffle_partitions
 LENGTH, GRAM = 100, 32
 HOT = 1 << 14
 SHARD_BYTES = 4 << 20
-_CHUNK = 1 << 19
-_BLOCK = 2 << 20
+_CHUNK = 1 << 17
+_BLOCK = 1 << 19
 _MASK = np.uint64((1 << 20) - 1)
 
 
@@ -258,7 +258,11 @@ def _anchors(pieces: list[tuple[int, int, bytes]], length: int, gram: int) -> tu
     count = np.diff(np.r_[cut, len(at)])
     number = np.array([i for i, _, _ in pieces], np.int64)
     base = np.array([b for _, b, _ in pieces], np.int64)
-    return number[which[cut]], base[which[cut]] + inside[cut], count.astype(np.int64), h[place[cut]]
+    # least hashes are small numbers; mixed again they spread evenly over the targets
+    name = h[place[cut]] * _MIX
+    name ^= name >> np.uint64(31)
+    name *= _FACTORS[0]
+    return number[which[cut]], base[which[cut]] + inside[cut], count.astype(np.int64), name ^ (name >> np.uint64(30))
 
 
 def _target(hashes: np.ndarray, targets: int) -> np.ndarray:
