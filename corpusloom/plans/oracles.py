@@ -217,4 +217,6 @@ SQL["system_status"] = f"with {_QA}, {_QUEUE.replace(' q as', ' queue as')} sele
 SQL["gazetteer"] = "select * from (values ('hospital', 15::bigint, 22::bigint), ('disease', 7, 19), ('symptom', 7, 25), ('clinic', 7, 21)) t(category, names, aliases)"
 
 _EMAIL = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
-SQL["email_spans"] = f"select doc_id, (instr(text, email) - 1)::int as start, email from (select doc_id, text, unnest(regexp_extract_all(text, '{_EMAIL}')) as email from documents)"
+SQL["email_spans"] = f"""with e as (select doc_id, regexp_extract_all(text, '{_EMAIL}') as m, regexp_split_to_array(text, '{_EMAIL}') as p from documents),
+ k as (select *, unnest(range(1, len(m) + 1)) as k from e)
+ select doc_id, m[k] as email, (list_sum(list_transform(p[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:k - 1], lambda x: length(x))), 0))::int as start from k"""
