@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
-_SPACE_DELETE = b" \t\n\r\x0b\f"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +59,14 @@ def bounded(batch: pa.RecordBatch, limit: int = 8 << 20) -> Iterator[pa.RecordBa
         yield batch.slice(start, step)
 
 
+def fresh(base: str, columns: list[str]) -> str:
+    """A column name that isn't among the given ones, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while base.lower() in taken:
+        base = "_" + base
+    return base
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The texts as UTF-8 bytes; null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
@@ -72,7 +79,3 @@ def fold(doc_id: str | F.Column, modulus: int) -> F.Column:
 
 def fold_of(doc_id: int | None, modulus: int) -> int:
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % modulus
-
-
-def code_points(data: bytes) -> int:
-    return len(data.decode("utf-8", "replace"))

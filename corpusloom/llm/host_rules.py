@@ -6,8 +6,8 @@ rate is shrunk with a beta prior whose two parameters are estimated from all hos
 passes the base rules itself and its host isn't rejected.
 
 Defined results: a null text has no words and fails as too short; a null host is a host of its own; an
-empty table gives an empty result; repeated rows each get a row; other columns are passed through
-unless their names clash with those that the operator makes, in which case the operator's win.
+empty table gives an empty result; repeated rows each get a row; other columns, whatever their names,
+are left out.
 """
 
 from __future__ import annotations

@@ -19,7 +19,6 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -27,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, checkpoint
+from .common import WORD, checkpoint, fresh
 
 SLICES = 256
 
@@ -197,5 +196,5 @@ def take(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str
     mixed = mix(docs, id, source, text, seed, most).where("times > 0")
     times = mixed.groupBy(F.col("doc_id").alias("_id"), F.col("content").alias("_content")).agg(F.max("times").alias("_times"))
     on = docs[id].eqNullSafe(times["_id"]) & (F.xxhash64(docs[text]) == times["_content"])
-    copies = docs.join(times, on).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    copies = docs.join(times, on).withColumn(fresh("copy", docs.columns), F.explode(F.sequence(F.lit(1), times["_times"])))
     return copies.select(*(docs[c] for c in docs.columns))

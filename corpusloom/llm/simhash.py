@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, map_arrow, utf8
+from .common import checkpoint, fresh, map_arrow, utf8
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _BLOCK = 1 << 15
@@ -144,19 +144,20 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", radius: in
     many = chosen.where("k_rows > 1").select("k_id", "k_fp")
     if many.isEmpty():
         return out
-    several = docs.join(many.select("k_id").distinct(), docs[id].eqNullSafe(F.col("k_id")), "left_semi")
-    printed = _with_fingerprint(several, text)
-    same = printed[id].eqNullSafe(many["k_id"]) & (printed["_fp"] == many["k_fp"])
-    kept = printed.join(many, same, "left_semi").dropDuplicates([id, "_fp"]).select(*docs.columns)
+    ids, fp = many.select("k_id").distinct(), fresh("fp", docs.columns)
+    several = docs.join(ids, docs[id].eqNullSafe(ids["k_id"]), "left_semi")
+    printed = _with_fingerprint(several, text, fp)
+    same = printed[id].eqNullSafe(many["k_id"]) & (printed[fp] == many["k_fp"])
+    kept = printed.join(many, same, "left_semi").dropDuplicates([id, fp]).select(*docs.columns)
     return out.unionByName(kept)
 
 
-def _with_fingerprint(docs: DataFrame, text: str, words: int = 3) -> DataFrame:
+def _with_fingerprint(docs: DataFrame, text: str, name: str, words: int = 3) -> DataFrame:
     names, at = docs.columns, docs.columns.index(text)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         values = np.array([fingerprint(x, words) for x in utf8(batch.column(at))], np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.int64())], [*names, "_fp"])
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.int64())], [*names, name])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return map_arrow(docs, names, run, f"{fields}, _fp long")
+    return map_arrow(docs, names, run, f"{fields}, `{name}` long")

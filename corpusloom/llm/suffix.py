@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions
+from .common import fresh, shuffle_partitions
 
 LENGTH, GRAM = 100, 32
 HOT = 1 << 14
@@ -540,11 +540,8 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     with an empty text.
     """
     columns = docs.columns
-    shard = "shard"
-    rows = docs
-    renamed = {c: f"_{c}" for c in columns if c == shard}
-    for old, new in renamed.items():
-        rows = rows.withColumnRenamed(old, new)
+    renamed = {c: fresh(c, columns) for c in columns if c.lower() == "shard"}
+    rows = docs.withColumnsRenamed(renamed)
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("long"))
     names = rows.columns
     sql = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)

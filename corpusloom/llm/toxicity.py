@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, checkpoint, fold, map_arrow, utf8
+from .common import bounded, checkpoint, fold, fresh, map_arrow, utf8
 
 SAMPLE, TERMS = 20_000, 4_000
 BEGINNINGS = (4, 5, 6, 7, 8)
@@ -199,21 +199,22 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", id: str = "d
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def _apply(docs: DataFrame, keep: list[str], terms: list[str], weights: np.ndarray, offset: float) -> DataFrame:
+def _apply(docs: DataFrame, keep: list[str], terms: list[str], weights: np.ndarray, offset: float, name: str = "score", text: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((Finder(terms), weights))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         finder, w = shared.value
         odds = np.array([offset + float(w[finder(x)].sum()) for x in utf8(batch.column(len(keep)))])
         scores = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-        return pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(scores, pa.float64())], [*keep, "score"])
+        return pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(scores, pa.float64())], [*keep, name])
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return map_arrow(docs, [*keep, "text"], run, f"{fields}, score double")
+    return map_arrow(docs, [*keep, text], run, f"{fields}, `{name}` double")
 
 
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **options) -> DataFrame:
     """The documents, all their columns, that aren't scored toxic."""
-    keep = docs.columns
+    keep, name = docs.columns, fresh("score", docs.columns)
     model = train(docs, labels, **options)
-    return _apply(docs, keep, *model).where(F.col("score") < threshold).select(*keep)
+    scored = _apply(docs, keep, *model, name, options.get("text", "text"))
+    return scored.where(F.col(name) < threshold).select(*keep)
