@@ -83,7 +83,10 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, width: int = 1 <<
             return take
         take[fits[0]] += 1
         rest -= int(lengths[fits[0]])
-    return take + knapsack(lengths, counts - take, rest)
+    found = take + knapsack(lengths, counts - take, rest)
+    if budget <= width and int((lengths * found).sum()) != budget:  # few documents: all of them may do better
+        return knapsack(lengths, counts, budget)
+    return found
 
 
 def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:

@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", words:
 def ball(fp: F.Column, radius: int) -> F.Column:
     """All 64-bit values within ``radius`` (0 or 1) bits of a fingerprint."""
     if radius not in (0, 1):
-        raise ValueError("balls of radius 0 or 1 (links at 0 to 3 bits) are supported")
+        raise ValueError("balls of radius 0 or 1 (links at 0 to 2 bits) are supported")
     if radius == 0:
         return F.array(fp)
     masks = F.array(F.lit(0).cast("long"), *[F.lit(-(1 << 63) if b == 63 else 1 << b).cast("long") for b in range(64)])
