@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .lexicons import SPELLINGS
 from .textkit import WORD_CHAR, let, spans, strip, whole
@@ -23,7 +24,7 @@ NICS = (f"{_B}\\d{{9}}[VXvx]{_E}", f"{_B}\\d{{12}}{_E}")
 KINDS = tuple(("PHONE", p) for p in PHONES) + (("EMAIL", EMAIL),) + tuple(("NIC", p) for p in NICS)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _composed(text: pd.Series) -> pd.Series:
     return text.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
 

@@ -42,6 +42,6 @@ def with_model(df: DataFrame, load: Callable[[], Callable[[list[str]], list[str]
                 out[i] = y
             yield batch.assign(**{into: out})
 
-    from pyspark.sql.types import StringType, StructType
+    from pyspark.sql.types import StringType, StructField, StructType
 
-    return df.mapInPandas(run, StructType(df.schema.fields).add(into, StringType()))
+    return df.mapInPandas(run, StructType([*df.schema.fields, StructField(into, StringType())]))

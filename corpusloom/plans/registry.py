@@ -296,17 +296,18 @@ def queue(spark, sf_dir):
     )
 
 
-NOW = F.to_timestamp(F.lit("2024-01-10 00:00:00"))
+def now() -> F.Column:
+    return F.to_timestamp(F.lit("2024-01-10 00:00:00"))
 
 
 @query
 def next_urls(spark, sf_dir):
-    return queueing.next_urls(queue(spark, sf_dir), NOW, 10).select("id", "priority_score", "domain")
+    return queueing.next_urls(queue(spark, sf_dir), now(), 10).select("id", "priority_score", "domain")
 
 
 @query
 def next_urls_of_domain(spark, sf_dir):
-    return queueing.next_urls(queue(spark, sf_dir), NOW, 5, "site3.example.org").select("id", "priority_score")
+    return queueing.next_urls(queue(spark, sf_dir), now(), 5, "site3.example.org").select("id", "priority_score")
 
 
 @query
@@ -322,7 +323,7 @@ def queue_statistics(spark, sf_dir):
 @query
 def queue_claim(spark, sf_dir):
     q = queue(spark, sf_dir)
-    return queueing.claim(q, queueing.due(q, NOW, "site1.example.org").select("id"), NOW).groupBy("status", "attempts").agg(F.count(F.lit(1)).alias("n"))
+    return queueing.claim(q, queueing.due(q, now(), "site1.example.org").select("id"), now()).groupBy("status", "attempts").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
@@ -330,14 +331,14 @@ def queue_transition(spark, sf_dir):
     q = queue(spark, sf_dir)
     number = F.col("id").cast("long")
     outcomes = q.where("status = 'processing'").select("id", (number % 3 == 0).alias("success"), F.lit("timeout").alias("error"), F.concat(F.lit("ctx"), "id").alias("context_id"))
-    out = queueing.transition(q, outcomes, NOW)
-    waited = F.when(F.col("status") == "pending", F.unix_seconds("scheduled_time") - F.unix_seconds(NOW))
+    out = queueing.transition(q, outcomes, now())
+    waited = F.when(F.col("status") == "pending", F.unix_seconds("scheduled_time") - F.unix_seconds(now()))
     return out.where("last_error is not null or context_id is not null").select("id", "status", "attempts", "last_error", "context_id", waited.alias("wait_s"))
 
 
 @query
 def unexpired_rows(spark, sf_dir):
-    return queueing.without_expired(queue(spark, sf_dir), NOW, 5).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    return queueing.without_expired(queue(spark, sf_dir), now(), 5).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
@@ -350,7 +351,7 @@ def throttled_starts(spark, sf_dir):
 def new_queue_rows(spark, sf_dir):
     q = queue(spark, sf_dir)
     urls = q.where("status in ('completed', 'pending')").select("url", F.lit(0.9).alias("reliability"), F.lit(0.5).alias("user_demand"))
-    return queueing.enqueue(q, urls, NOW).select("url", "domain", r6(F.col("priority_score")).alias("priority_score"), "status", "attempts")
+    return queueing.enqueue(q, urls, now()).select("url", "domain", r6(F.col("priority_score")).alias("priority_score"), "status", "attempts")
 
 
 @query
