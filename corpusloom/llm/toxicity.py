@@ -155,7 +155,7 @@ def _shares(votes: Votes, q: np.ndarray) -> np.ndarray:
     return 1 / (1 + correlated)
 
 
-def linear_classifier(votes: Votes, target: np.ndarray, rounds: int = 400, ridge: float = 3e-4, rate: float = 0.2) -> tuple[np.ndarray, float]:
+def linear_classifier(votes: Votes, target: np.ndarray, rounds: int = 400, ridge: float = 3e-5, rate: float = 0.2) -> tuple[np.ndarray, float]:
     """Logistic regression of posterior labels on the terms (Adam, full batches)."""
     w, b = np.zeros(votes.m), math.log((target.mean() + 1e-3) / (1 - target.mean() + 1e-3))
     m1, m2, c1, c2 = np.zeros(votes.m), np.zeros(votes.m), 0.0, 0.0
