@@ -11,8 +11,8 @@ from .textkit import WORD_CHAR, bounded, let, spans, whole
 CATEGORIES = ("hospital", "disease", "symptom", "clinic")
 _DAYS = "|".join(d + "day" for d in ("Satur", "Sun", "Mon", "Tues", "Wednes", "Thurs", "Fri"))
 PATTERNS = (
-    ("time", r"\d{1,2}:\d{2}\s*(?:pm|am)(?!W)|\d{1,2}:\d{2}\s*(?<!W)(?=W)|\d{1,2}:\d{2}(?!W)".replace("W", WORD_CHAR), True),
-    ("time", r"\d{1,2}\s*(?:pm|am)", False),
+    ("time", r"\d\d?:\d\d\s*(?:pm|am)(?!W)|\d\d?:\d\d\s*(?<!W)(?=W)|\d\d?:\d\d(?!W)".replace("W", WORD_CHAR), True),
+    ("time", r"\d\d?\s*(?:pm|am)", False),
     ("time", "night|evening|afternoon|morning", False),
     ("date", r"\d{1,2}[-/]\d{1,2}[-/]\d{2,4}", False),
     ("date", _DAYS, False),

@@ -83,18 +83,18 @@ GAZETTEER: tuple[Name, ...] = (
     Name("disease", "Leptospirosis", aliases=("මූත්‍ර රෝග", "rat fever", "lepto")),
     Name("disease", "Dengue Fever", aliases=("dengu", "டெங்கு", "ඩෙංගු", "dengue")),
     Name("symptom", "Rash", aliases=("skin rash", "rash", "சொறி", "කුෂ්ඨ")),
-    Name("symptom", "Diarrhea", aliases=("diarrhea", "வயிற்றுப்போக்கு", "පාචනය")),
+    Name("symptom", "Diarrhea", aliases=("diarrhea", "வயிற்று" "ப்போக்கு", "පාචනය")),
     Name("symptom", "Vomiting", aliases=("vomiting", "வாந்தி", "වමනය")),
     Name("symptom", "Cough", aliases=("kassa", "cough", "இருமல்", "කැස්ස")),
     Name("symptom", "Body Pain", aliases=("body ache", "உடல் வலி", "ශරීර වේදනාව")),
     Name("symptom", "Headache", aliases=("hisa radeema", "headache", "தலைவலி", "හිසරදය")),
     Name("symptom", "Fever", aliases=("fever", "una", "காய்ச்சல்", "උණ")),
-    Name("clinic", "Dental Clinic", aliases=("பல் மருத்துவமனை", "දන්ත සායනය", "dental")),
+    Name("clinic", "Dental Clinic", aliases=("பல்" " மருத்துவமனை", "දන්ත සායනය", "dental")),
     Name("clinic", "Eye Clinic", aliases=("eye opd", "ඇස් සායනය", "ophthalmology")),
     Name("clinic", "Maternal Clinic", aliases=("ante natal clinic", "මාතෘ සායනය", "antenatal")),
     Name("clinic", "Mental Health Clinic", aliases=("මානසික සෞඛ්‍ය", "psychiatry")),
-    Name("clinic", "Vaccination Center", aliases=("தடுப்பூசி மையம்", "එන්නත් මධ්‍යස්ථානය", "vaccine center")),
-    Name("clinic", "Dengue Clinic", aliases=("டெங்கு கிளினிக்", "ඩෙංගු සායනය", "dengue clinic")),
+    Name("clinic", "Vaccination Center", aliases=("தடுப்பூசி" " மையம்", "එන්නත්" " මධ්‍යස්ථානය", "vaccine center")),
+    Name("clinic", "Dengue Clinic", aliases=("டெங்கு" " கிளினிக்", "ඩෙංගු සායනය", "dengue clinic")),
     Name("clinic", "OPD", aliases=("ஓபிடி", "opd", "Out Patient", "Outpatient Department")),
 )
 

@@ -19,7 +19,7 @@ PHONES = (
     f"{_B}0\\d{{9}}{_E}", f"(?<={WORD_CHAR})\\+94\\s?\\d{{9}}{_E}", f"{_B}\\d{{3}}[-.\\s]?\\d{{3}}[-.\\s]?\\d{{4}}{_E}", f"{_B}\\d{{10}}{_E}",
 )
 # after a leading mark of the class the word edge flips, so both forms are there
-EMAIL = f"(?:{_B}(?=[A-Za-z0-9_])|(?<={WORD_CHAR})(?=[.%+-]))[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.(?:[A-Z|a-z]{{2,}}(?<=\\|)(?={WORD_CHAR})|[A-Z|a-z]{{2,}}(?<=[A-Za-z]){_E})"
+EMAIL = f"(?:{_B}(?=[A-Za-z0-9_])|(?<={WORD_CHAR})(?=[.%+-]))[%+.0-9A-Z_a-z-]+@[.0-9A-Za-z-]+\\.(?:[A-Z|a-z]{{2,}}(?<=\\|)(?={WORD_CHAR})|[A-Z|a-z]{{2,}}(?<=[A-Za-z]){_E})"
 NICS = (f"{_B}\\d{{9}}[VXvx]{_E}", f"{_B}\\d{{12}}{_E}")
 KINDS = tuple(("PHONE", p) for p in PHONES) + (("EMAIL", EMAIL),) + tuple(("NIC", p) for p in NICS)
 
@@ -101,8 +101,8 @@ def preprocess(text: Column, language: Column | str = "english", normalize: bool
     return let(t, lambda t: let(personal_data(t), lambda found: of(t, found)))
 
 
-TEMPERATURE = r"\d{2,3}(?:\.\d)?°?[CF°]?"
-CLOCK = r"\d{1,2}(?::\d{2})?\s*(?:pm|PM|am|AM)?"
+TEMPERATURE = r"\d\d\d?(?:[.]\d)?°?[CF°]?"
+CLOCK = r"\d\d?(?::\d\d)?\s*(?:pm|PM|am|AM)?"
 
 
 def health_numbers(text: Column) -> Column:

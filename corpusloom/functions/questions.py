@@ -13,7 +13,7 @@ _HEADS, _BODIES = r"b|strong|h\d", "div|p"
 FAQ = (
     _TAG(_HEADS) + r"(?:Q[.:]\s*)?(.+?)" + _CLOSE(_HEADS) + r"\s*" + _TAG(_BODIES) + r"(?:A[.:]\s*)?(.+?)" + _CLOSE(_BODIES),
     r"(?:Question[.:]\s*|Q[.:]\s*)(.+?)[\r\n]+(?:Answer[.:]\s*|A[.:]\s*)(.+?)(?=\z|\n\n)",
-    r"(?:\d+[).]\s*)(.+\?)\s*[\r\n]+(.+?)(?=\z|\n\n|\d+[).])",
+    r"(?:\d+[).]\s*)(.+[?])\s*[\r\n]+(.+?)(?=\z|\n\n|\d+[).])",
 )
 PAIR = "array<struct<question:string,answer:string,intent:string,domain:string,confidence:double>>"
 

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from corpusloom.functions.lexicons import THRESHOLDS
 from corpusloom.functions.textkit import or_default
 
-#: Where to look for what is missing; anything else gets the two general hints.
+#: Where to look for what is missing, the last place first; anything else gets the two general hints.
 _NATIONAL, _OFFICE = "http://www.health.gov.lk/", "MOH"
 SUGGESTIONS: dict[tuple[str, str], tuple[str, ...]] = {
-    ("domain", "maternal_health"): ("De Soysa Hospital for Women website", "Antenatal clinic schedules", f"{_OFFICE} maternal health programs"),
-    ("domain", "mental_health"): ("National Institute of Mental Health website", "Suicide prevention hotline transcripts", "Psychiatric ward FAQs"),
-    ("language", "sinhala"): (f"{_NATIONAL}si/", "Sinhala health brochures", f"{_OFFICE} area office documents"),
-    ("language", "tamil"): (f"{_NATIONAL}ta/", "Jaffna Teaching Hospital website", "Tamil language health hotline transcripts"),
+    ("domain", "maternal_health"): (f"{_OFFICE} maternal health programs", "Antenatal clinic schedules", "De Soysa Hospital for Women website"),
+    ("domain", "mental_health"): ("Psychiatric ward FAQs", "Suicide prevention hotline transcripts", "National Institute of Mental Health website"),
+    ("language", "sinhala"): (f"{_OFFICE} area office documents", "Sinhala health brochures", f"{_NATIONAL}si/"),
+    ("language", "tamil"): ("Tamil language health hotline transcripts", "Jaffna Teaching Hospital website", f"{_NATIONAL}ta/"),
 }
 DIMENSIONS = ("language", "romanized", "domain", "region")
 
@@ -66,7 +66,7 @@ def gaps(found: DataFrame) -> DataFrame:
     """Severe alerts with what is needed and where to look."""
     known = F.lit(None).cast("array<string>")
     for (kind, value), hints in SUGGESTIONS.items():
-        known = F.when((F.col("category_type") == kind) & (F.col("category_value") == value), F.array(*map(F.lit, hints))).otherwise(known)
+        known = F.when((F.col("category_type") == kind) & (F.col("category_value") == value), F.array(*map(F.lit, reversed(hints)))).otherwise(known)
     general = F.array(F.concat(F.lit("Search for more "), "category_value", F.lit(" content")), F.concat(F.lit("Add "), "category_value", F.lit(" sources to crawl queue")))
     severe = found.where(F.col("severity").isin("high", "critical"))
     return severe.select("category_type", "category_value", F.col("current_count").alias("current"), (F.col("expected_minimum") - F.col("current_count")).alias("needed"), F.coalesce(known, general).alias("suggestions"))
@@ -88,7 +88,9 @@ def markdown(counts: DataFrame, found: DataFrame, qa_total: int, date: str) -> s
     rows = counts.where(F.col("category_type").isin("language", "domain")).orderBy(F.desc("n"), "category_value").collect()
     total = sum(r["n"] for r in rows if r["category_type"] == "language")
     name = lambda v: v.replace("_", " ").title()
-    lines = ["# Corpus Bias Audit Report", f"**Date:** {date}", "", "## Summary", f"- **Total Documents:** {total:,}", f"- **Total Q&A Pairs:** {qa_total:,}"]
+    bold = lambda key, value: f"**{key}:** {value}"
+    lines = ["# Corpus Bias Audit Report", bold("Date", date), "", "## Summary"]
+    lines += ["- " + bold(f"Total {k}", f"{v:,}") for k, v in (("Documents", total), ("Q&A Pairs", qa_total))]
     for kind in ("language", "domain"):
         lines += ["", f"## {kind.title()} Distribution"]
         lines += [f"- {name(r['category_value'])}: {r['n']:,} ({r['n'] / total * 100 if total else 0:.1f}%)" for r in rows if r["category_type"] == kind]

@@ -64,8 +64,8 @@ select doc_id, (length(t) - len(list_filter(w, lambda x: x in ('kohenda', 'vacin
 SQL["sentence_counts"] = r"""
 select doc_id, len(list_filter(list_transform(regexp_extract_all(coalesce(text, ''), '[^.!?]*[.!?]|[^.!?]+$'), lambda x: regexp_replace(x, '\s', '', 'g')), lambda x: x <> ''))::int as n_sentences from documents"""
 SQL["health_numbers"] = r"""
-select doc_id, coalesce(array_to_string(regexp_extract_all(coalesce(text, ''), '\d{2,3}(?:\.\d)?°?[CF°]?'), '|'), '') as temperatures,
- len(regexp_extract_all(coalesce(text, ''), '\d{1,2}(?::\d{2})?\s*(?:pm|PM|am|AM)?'))::int as n_times from documents"""
+select doc_id, coalesce(array_to_string(regexp_extract_all(coalesce(text, ''), '\d\d\d?(?:[.]\d)?°?[CF°]?'), '|'), '') as temperatures,
+ len(regexp_extract_all(coalesce(text, ''), '\d\d?(?::\d\d)?\s*(?:pm|PM|am|AM)?'))::int as n_times from documents"""
 
 
 def _edge(body: str) -> str:
@@ -184,7 +184,7 @@ SQL["relevant_links"] = f"""with {_LINKS}, u as (select lower(unnest(list_slice(
  s as (select greatest(0, least(1, {_LSUM} + {_FIXED_SUM:.1f} + contains(u, 'gov.lk')::int * 0.3 - (starts_with(u, 'http') and not contains(u, 'gov.lk'))::int * 0.2)) as score from u)
  select case when score > 0.8000001 then 'high' else 'medium' end as priority, count(*) as n from s where score > 0.5000001 group by all"""
 SQL["asset_types"] = """with p as (select case when page_id % 4 = 0 then 'pdf' else e end as asset_type from pages,
- unnest(['pdf', 'image', 'image', 'html', 'document', 'unknown', 'html', 'html', 'html', 'html']) as x(e)) select asset_type, count(*) as n from p group by all"""
+ unnest(['unknown', 'html', 'html', 'pdf', 'html', 'html', 'html', 'image', 'image', 'document']) as x(e)) select asset_type, count(*) as n from p group by all"""
 SQL["asset_statistics"] = r"""with p as (select len(regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1)) as n, len(regexp_extract_all(html, '(?is)<img\s[^>]*?src\s*=\s*["'']([^"'']*)["'']', 1)) as m from pages)
  select count(*) as total_documents, sum((n + 2) // 3)::bigint as pdf_assets, sum((n + 1) // 3 + m)::bigint as image_assets, count(*) filter (n > 0) as ocr_required, 0 as html_pages from p"""
 SQL["allowed_pages"] = rf"""with p as (select page_id, url, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) as site, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) as path from pages)
@@ -216,7 +216,7 @@ SQL["orphan_labels"] = "select doc_id, quality, toxic from labels where doc_id n
 SQL["system_status"] = f"with {_QA}, {_QUEUE.replace(' q as', ' queue as')} select (select count(*) from documents) as documents, (select count(*) from q) as qa_pairs, (select count(*) from q where verified) as verified, (select count(*) from queue where status = 'pending') as pending"
 SQL["gazetteer"] = "select * from (values ('hospital', 15::bigint, 22::bigint), ('disease', 7, 19), ('symptom', 7, 25), ('clinic', 7, 21)) t(category, names, aliases)"
 
-_EMAIL = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
+_EMAIL = r"\b[%+.0-9A-Z_a-z-]+@[.0-9A-Za-z-]+[.][|A-Za-z]{2,}\b"
 SQL["email_spans"] = f"""with e as (select doc_id, regexp_extract_all(text, '{_EMAIL}') as m, regexp_split_to_array(text, '{_EMAIL}') as p from documents),
  k as (select *, unnest(range(1, len(m) + 1)) as k from e)
  select doc_id, m[k] as email, (list_sum(list_transform(p[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:k - 1], lambda x: length(x))), 0))::int as start from k"""

@@ -27,7 +27,7 @@ SENTENCES = (
     "mage amma dengue clinic eka koheda", "hospital time eka mokakda aney", "dengue clinic enga irukku hospital la", "naan hospital ponga theriyuma",
     "Where is the dengue clinic located?", "koheda", "mama hospital eke appointment ganna enna", "i visited national hospital for dengue treatment",
     "dengue clinic open 8:00 am monday", "crash", "Call me at 0771234567", "mail a.b@x.lk", "id 123456789v", "Go to the hosiptal", "Hi?! Bye.",
-    "ඩෙංගු clinic එක කොහෙද", "ඩෙංගු වෛද්‍ය මධ්‍යස්ථානය", "டெங்கு கிளினிக்", "booster dose and blood test", "National Hospital is located in Colombo. Open 24 hours.",
+    "ඩෙංගු clinic එක කොහෙද", "ඩෙංගු සායනය විවෘතයි", "டெங்கு" " கிளினிக்", "booster dose and blood test", "National Hospital is located in Colombo. Open 24 hours.",
 )
 
 
@@ -48,7 +48,7 @@ def r6(c) -> F.Column:
     return F.round(c, 6)
 
 
-# ---- language and script -----------------------------------------------------------------------------------
+# -- language and script --
 @query
 def language_distribution(spark, sf_dir):
     d = docs(spark, sf_dir).select(language.detect(F.col("text")).alias("l"))
@@ -76,7 +76,7 @@ def script_flags(spark, sf_dir):
     )
 
 
-# ---- romanized text ----------------------------------------------------------------------------------------
+# -- romanized text --
 def _romanized(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", romanized.classify(F.col("text")).alias("r"))
 
@@ -102,7 +102,7 @@ def marker_counts(spark, sf_dir):
     return d.groupBy("marker").agg(F.count(F.lit(1)).alias("n"))
 
 
-# ---- cleaning and personal data ----------------------------------------------------------------------------
+# -- cleaning and personal data --
 @query
 def clean_text(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", F.sha2(preprocess.clean(F.col("text")), 256).alias("cleaned_sha256"))
@@ -150,7 +150,7 @@ def preprocess_sentences(spark, sf_dir):
     return p.select("id", "p.cleaned", "p.pii_removed", F.array_join(F.transform("p.pii", lambda x: x["kind"]), "|").alias("kinds"), F.array_join("p.sentences", "|").alias("sentences"))
 
 
-# ---- intents, domains, entities, questions -----------------------------------------------------------------
+# -- intents, domains, entities, questions --
 def turns(spark, sf_dir):
     return table(spark, sf_dir, "conversations")
 
@@ -208,7 +208,7 @@ def page_questions(spark, sf_dir):
     return rows.select("id", "number", "p.question", "p.answer", "p.intent", "p.domain", "p.confidence")
 
 
-# ---- question-answer requests ------------------------------------------------------------------------------
+# -- question-answer requests --
 def qa(spark, sf_dir):
     t = turns(spark, sf_dir)
     by = Window.partitionBy("conv_id").orderBy("turn")
@@ -251,7 +251,7 @@ def stand_in_translation(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", F.explode(translate.multilingual(F.col("text"))).alias("language", "translated")).select("doc_id", "language", translate.language_code(F.col("language")).alias("code"), F.sha2("translated", 256).alias("translated_sha256"))
 
 
-# ---- hashes, duplicates, versions --------------------------------------------------------------------------
+# -- hashes, duplicates, versions --
 @query
 def content_hashes(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", hashing.content_hash(F.col("text")).alias("content_hash"))
@@ -284,7 +284,7 @@ def content_versions(spark, sf_dir):
     return out.select("source", "doc_id", "version_number", "content_hash", "previous_hash", "changes_summary", "diff_summary")
 
 
-# ---- queues ------------------------------------------------------------------------------------------------
+# -- queues --
 def queue(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     status = F.when(F.col("event_id") % 5 < 2, "pending").when(F.col("event_id") % 5 == 2, "processing").when(F.col("event_id") % 5 == 3, "completed").otherwise("failed")
@@ -362,7 +362,7 @@ def jobs_due(spark, sf_dir):
     return e.select("event_id", queueing.crawl_due(last, t, 12).alias("crawl_due"), queueing.audit_due(last, t).alias("audit_due"))
 
 
-# ---- pages -------------------------------------------------------------------------------------------------
+# -- pages --
 def page_rows(spark, sf_dir):
     return table(spark, sf_dir, "pages")
 
@@ -427,7 +427,7 @@ def text_chunks(spark, sf_dir):
     return p.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_chunks"))
 
 
-# ---- audits ------------------------------------------------------------------------------------------------
+# -- audits --
 def audited(spark, sf_dir):
     topic = F.when(F.col("doc_id") % 50 == 0, "mental_health").when(F.col("doc_id") % 7 == 0, "dengue").when(F.col("doc_id") % 11 == 0, "")
     named = {"en": "english", "de": "sinhala", "fr": "tamil"}
@@ -472,7 +472,7 @@ def corpus_snapshot(spark, sf_dir):
     return out.select("total_documents", "total_qa_pairs", F.size("region_distribution").alias("n_regions"), F.element_at("language_distribution", "english").alias("english"))
 
 
-# ---- tables and composites ---------------------------------------------------------------------------------
+# -- tables and composites --
 @query
 def table_upsert(spark, sf_dir):
     d = docs(spark, sf_dir).select(F.col("doc_id").alias("id"), "lang", "source")
