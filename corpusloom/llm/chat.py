@@ -72,7 +72,7 @@ class TemplateError(ValueError):
     pass
 
 
-# ---- parsing -------------------------------------------------------------------------------------------
+# -- parsing --
 _PART = re.compile(r"\{\{(.*?)\}\}|\{%-?(.*?)-?%\}|\{#.*?#\}", re.S)
 _TOKEN = re.compile(r"\s*(?:('(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")|(\d+)|([A-Za-z_]\w*)|(==|!=|[+~|.()\[\]]))")
 _ESCAPES = {"n": "\n", "t": "\t", "\\": "\\", "'": "'", '"': '"'}
@@ -230,7 +230,7 @@ def parse(source: str) -> tuple:
     return block()[0]
 
 
-# ---- folding -------------------------------------------------------------------------------------------
+# -- folding --
 _OPS: dict[str, Callable[[Any, Any], Any]] = {
     "+": lambda a, b: a + b, "~": lambda a, b: _text(a) + _text(b), "==": lambda a, b: a == b, "!=": lambda a, b: a != b, "in": lambda a, b: a in b,
 }
@@ -293,7 +293,7 @@ def fold(node: tuple) -> tuple:
     return ("block", nodes)
 
 
-# ---- closures ------------------------------------------------------------------------------------------
+# -- closures --
 Chunk = tuple[str, bool]
 
 
@@ -390,7 +390,7 @@ class Template:
         return self._run({**names, "messages": messages}, False)
 
 
-# ---- reading back --------------------------------------------------------------------------------------
+# -- reading back --
 def read_turns(chunks: Iterable[Chunk]) -> Iterator[tuple[str, str, str, int]]:
     """(role, text, text under the loss mask, characters) of each turn of a formatted output."""
     texts: list[str] = []

@@ -53,7 +53,7 @@ _FACTORS = [np.uint64(xxhash.xxh64_intdigest(b"factor%d" % k, 7) | 1) for k in r
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
-# ---- suffix arrays ---------------------------------------------------------------------------------------
+# -- suffix arrays --
 def suffix_array(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Suffix array and ranks of fragments laid end to end, by Larsson-Sadakane refinement.
 
@@ -208,7 +208,7 @@ class Block:
         return result
 
 
-# ---- anchors ---------------------------------------------------------------------------------------------
+# -- anchors --
 def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> dict[str, np.ndarray]:
     """Runs of windows that share their anchor: text number, first start, number of windows, hash."""
     found: list[tuple[np.ndarray, ...]] = []
@@ -272,7 +272,7 @@ def _target(hashes: np.ndarray, targets: int) -> np.ndarray:
 _LOW = np.uint64(0xFFFFFFFF)
 
 
-# ---- the passes ------------------------------------------------------------------------------------------
+# -- the passes --
 def _rows(table: pa.Table) -> tuple[list, list[bytes], list[int]]:
     """Distinct (id, text) of a shard in order, and how often each is there."""
     ids = table.column("doc_id").to_pylist()

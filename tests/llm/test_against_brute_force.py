@@ -26,7 +26,7 @@ def rows(spark):
     return [(r.doc_id, r.text or "", r.source) for r in common.documents(spark, SF).collect()]
 
 
-# ---- suffix arrays -----------------------------------------------------------------------------------------
+# -- suffix arrays --
 fragments = st.lists(st.binary(min_size=1, max_size=30).map(lambda b: bytes(x % 3 for x in b)), min_size=1, max_size=8)
 
 
@@ -81,7 +81,7 @@ def test_suffix_dedup(spark, rows, hot):
     assert found == removed(rows)
 
 
-# ---- SimHash -----------------------------------------------------------------------------------------------
+# -- SimHash --
 def plain_fingerprint(text):
     words = [w for w in WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text))]
     if not words:
@@ -128,7 +128,7 @@ def test_links_of_chains_and_crowds(spark):
         assert all(found.get(v, v) == group[v] for v in signed)
 
 
-# ---- BPE ---------------------------------------------------------------------------------------------------
+# -- BPE --
 @pytest.fixture(scope="module")
 def tokenizers_pair():
     from tokenizers import Tokenizer
@@ -163,7 +163,7 @@ def test_bpe_tables(spark):
     assert {r.doc_id: r.text for r in bpe.decode(bpe.encode(docs)).collect()} == {1: "Hello  world é", 2: ""}
 
 
-# ---- chat --------------------------------------------------------------------------------------------------
+# -- chat --
 hostile = st.lists(st.one_of(st.text(max_size=5), st.sampled_from([*chat.CONTROLS, "\\", "<", "[", "\n", "<\\", "|turn|>"])), max_size=8).map("".join)
 
 
@@ -192,7 +192,7 @@ def test_template_language():
             chat.Template(bad)
 
 
-# ---- mixing ------------------------------------------------------------------------------------------------
+# -- mixing --
 @settings(max_examples=150, deadline=None)
 @given(st.dictionaries(st.integers(1, 12), st.integers(1, 4), min_size=1, max_size=5), st.integers(0, 80))
 def test_knapsack_is_optimal(counts, budget):
@@ -225,7 +225,7 @@ def test_mixing(spark, rows):
     assert {r.doc_id: r.taken for r in queries.op8_mixing(spark, SF).collect()} == {i: r.taken for i, r in found.items()}
 
 
-# ---- media -------------------------------------------------------------------------------------------------
+# -- media --
 def test_media(spark, rows):
     for r in queries.op9_media(spark, SF).collect():
         b = next(t for i, t, _ in rows if i == r.doc_id).encode()
@@ -270,7 +270,7 @@ def test_close_images_have_close_hashes():
     assert bin(a ^ b).count("1") <= 4
 
 
-# ---- rules and paragraphs ----------------------------------------------------------------------------------
+# -- rules and paragraphs --
 def test_measures(rows):
     for _, text, _ in rows:
         words = WORD.findall(text)
@@ -329,7 +329,7 @@ def test_crowds_are_compared_exactly():
     assert [find(i) for i in range(len(sets))] == group
 
 
-# ---- classifiers and the pipeline --------------------------------------------------------------------------
+# -- classifiers and the pipeline --
 def _held_out(spark, query, label):
     sf = "/root/testdata/sf0.01"
     y = {r.doc_id: r[label] for r in queries.labels(spark, sf).collect()}
