@@ -28,6 +28,9 @@ def word_count(text: Column) -> Column:
 
 
 def diff_summary(old: Column, new: Column) -> Column:
-    delta = word_count(new) - word_count(old)
+    return delta_summary(word_count(new) - word_count(old))
+
+
+def delta_summary(delta: Column) -> Column:
     some = lambda verb, n: F.concat(F.lit(f"{verb} ~"), n.cast("string"), F.lit(" words"))
     return F.when(delta > 0, some("Added", delta)).when(delta < 0, some("Removed", -delta)).otherwise("Minor changes (same word count)")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpusloom.functions.hashing import content_hash, diff_summary, token_set
+from corpusloom.functions.hashing import content_hash, delta_summary, token_set, word_count
 
 
 def exact_lookup(new: DataFrame, existing: DataFrame, new_id: str, old_id: str, text: str = "text") -> DataFrame:
@@ -52,16 +52,19 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", least_token
 
 
 def versions(inputs: DataFrame, context: str, order: list[str], text: str = "text") -> DataFrame:
-    """Versions of each context: a row where the content differs from the one before, numbered from 1."""
+    """Versions of each context: a row where the content differs from the one before, numbered from 1.
+
+    Hashes and word counts are taken before the window, so a plan that doesn't ask for the text sorts without it.
+    """
     by = Window.partitionBy(context).orderBy(*order)
-    hashed = inputs.withColumn("content_hash", content_hash(F.col(text))).withColumn("_before", F.lag("content_hash").over(by))
+    hashed = inputs.withColumn("content_hash", content_hash(F.col(text))).withColumn("_words", word_count(F.col(text))).withColumn("_before", F.lag("content_hash").over(by))
     changed = hashed.where(F.col("_before").isNull() | (F.col("_before") != F.col("content_hash"))).drop("_before")
     number = F.row_number().over(by)
     out = changed.withColumn("version_number", number).withColumn("previous_hash", F.lag("content_hash").over(by))
     previous = F.col("version_number") - 1
-    return out.withColumn("changes_summary", F.when(previous > 0, F.concat(F.lit("Updated from version "), previous.cast("string")))).withColumn(
-        "diff_summary", F.when(previous > 0, diff_summary(F.lag(text).over(by), F.col(text)))
-    )
+    out = out.withColumn("changes_summary", F.when(previous > 0, F.concat(F.lit("Updated from version "), previous.cast("string"))))
+    out = out.withColumn("diff_summary", F.when(previous > 0, delta_summary(F.col("_words") - F.lag("_words").over(by))))
+    return out.drop("_words")
 
 
 def history(versioned: DataFrame, context: str) -> DataFrame:

@@ -7,7 +7,6 @@ pointer to the current one, so a table is never overwritten while it is read.
 from __future__ import annotations
 
 import json
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,33 +52,44 @@ def orphans(child: DataFrame, parent: DataFrame, foreign: str, key: str = "id")
 
 
 class Store:
-    """Tables under a folder: append, replace, read."""
+    """Tables under a folder of any file system that Spark writes to: append, replace, read."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, Path(folder)
+        self.spark, self.folder = spark, folder.rstrip("/")
+        self._jvm = spark.sparkContext._jvm
+        self._files = self._path(self.folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _pointer(self, table: str) -> Path:
-        return self.folder / table / "current.json"
+    def _path(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(name)
+
+    def _pointer(self, table: str) -> str:
+        return f"{self.folder}/{table}/current.json"
+
+    def _current(self, table: str) -> dict:
+        stream = self._files.open(self._path(self._pointer(table)))
+        try:
+            return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(*json.loads(self._pointer(table).read_text())["parts"])
+        return self.spark.read.parquet(*self._current(table)["parts"])
 
     def exists(self, table: str) -> bool:
-        return self._pointer(table).exists()
+        return self._files.exists(self._path(self._pointer(table)))
 
     def _write(self, table: str, df: DataFrame, kept: list[str]) -> None:
-        pointer = self._pointer(table)
-        pointer.parent.mkdir(parents=True, exist_ok=True)
-        number = json.loads(pointer.read_text())["number"] + 1 if pointer.exists() else 0
-        part = str(pointer.parent / f"v{number:08d}")
+        number = self._current(table)["number"] + 1 if self.exists(table) else 0
+        part = f"{self.folder}/{table}/v{number:08d}"
         df.write.parquet(part)
-        fresh = pointer.with_suffix(".new")
-        fresh.write_text(json.dumps({"number": number, "parts": [*kept, part]}))
-        fresh.replace(pointer)
+        stream = self._files.create(self._path(self._pointer(table)), True)
+        try:
+            stream.write(json.dumps({"number": number, "parts": [*kept, part]}).encode())
+        finally:
+            stream.close()
 
     def append(self, table: str, df: DataFrame) -> None:
-        kept = json.loads(self._pointer(table).read_text())["parts"] if self.exists(table) else []
-        self._write(table, df, kept)
+        self._write(table, df, self._current(table)["parts"] if self.exists(table) else [])
 
     def replace(self, table: str, df: DataFrame) -> None:
         self._write(table, df, [])
