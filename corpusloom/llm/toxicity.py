@@ -33,7 +33,7 @@ from .common import bounded, checkpoint, fold, fresh, map_arrow, utf8
 SAMPLE, TERMS = 20_000, 4_000
 BEGINNINGS = (4, 5, 6, 7, 8)
 _WORD = re.compile(r"\w+")
-_CACHE = 1 << 20
+_CACHE = 1 << 19
 
 
 def terms_of(run: str) -> set[str]:
@@ -72,7 +72,7 @@ def candidate_terms(sample: DataFrame, limit: int = TERMS, least: int = 4, lean:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in bounded(batch):
+            for part in bounded(batch, 2 << 20):  # the terms of a slice take some fifty times its bytes
                 counts: dict[str, list[int]] = {}
                 for text, y in zip(utf8(part.column(0)), part.column(1).to_pylist()):
                     for term in set().union(*map(terms_of, set(text.decode("utf-8", "replace").split()))):
