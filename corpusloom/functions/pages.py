@@ -18,6 +18,19 @@ def elements(html: Column, tags: str) -> Column:
     return F.transform(found, lambda x: strip(F.regexp_replace(x, "<[^>]*>", "")))
 
 
+def of_class(html: Column, name: str) -> Column:
+    """Texts of elements that carry a class; an element ends at the first closing tag of its kind."""
+    found = F.regexp_extract_all(html, F.lit(rf"""(?is)<([a-z]\w*)\s[^>]*?class\s*=\s*["'](?:[^"']*\s)?{name}(?:\s[^"']*)?["'][^>]*>(.*?)</\1\s*>"""), F.lit(2))
+    return F.transform(found, lambda x: strip(F.regexp_replace(x, "<[^>]*>", "")))
+
+
+def extracted(html: Column) -> Column:
+    """struct<title, content, date>: the first heading, all paragraphs and the first date of a page."""
+    content = F.concat(paragraphs(html), of_class(html, "content"))
+    date = F.get(F.concat(of_class(html, "date"), dates(html)), F.lit(0))
+    return F.struct(title(html).alias("title"), F.array_join(content, "\n").alias("content"), date.alias("date"))
+
+
 def title(html: Column) -> Column:
     return F.get(elements(html, "h1|h2"), F.lit(0))
 
