@@ -53,7 +53,7 @@ def transition(queue: DataFrame, outcomes: DataFrame, now: Column, retry: bool =
     later = F.timestamp_seconds(F.unix_micros(now) / 1_000_000 + retry_minutes(tried) * 60)
     updates = {
         "status": F.when(ok, "completed").when(again, "pending").when(bad, "failed").otherwise(F.col("status")),
-        "scheduled_time": F.when(again, later).otherwise(F.col("scheduled_time")),
+        "scheduled_time": F.when(again, later).otherwise(keep("scheduled_time").cast("timestamp")),
         "completed_at": F.when(ok, now).otherwise(keep("completed_at").cast("timestamp")),
         "context_id": F.when(ok, F.col("_context")).otherwise(keep("context_id").cast("string")),
         "last_error": F.when(bad, F.col("_error")).otherwise(keep("last_error").cast("string")),
@@ -64,7 +64,7 @@ def transition(queue: DataFrame, outcomes: DataFrame, now: Column, retry: bool =
 
 def ocr_transition(queue: DataFrame, outcomes: DataFrame, now: Column) -> DataFrame:
     """Pending or processing rows complete or fail; there is no retry."""
-    return transition(queue, outcomes, now, retry=False)
+    return transition(queue, outcomes, now, retry=False).drop(*{"scheduled_time"} - set(queue.columns))
 
 
 def statistics(queue: DataFrame) -> DataFrame:
