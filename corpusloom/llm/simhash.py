@@ -74,7 +74,9 @@ def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
     Each edge is verified. At an even radius those meeting at a value are linked to the least of them;
     at an odd radius, where a meeting doesn't imply a link, all of a value's (at most 65) are compared.
     """
-    met = distinct.select("fp", F.explode(ball(F.col("fp"), (radius + 1) // 2)).alias("value")).repartition("value")
+    met = distinct.select("fp", F.explode(ball(F.col("fp"), (radius + 1) // 2)).alias("value"))
+    # The join below asks for values that aren't null; said here, it leaves all three uses of the shuffle alike.
+    met = met.where(F.col("value").isNotNull()).repartition("value")
     buckets = met.groupBy("value").agg(F.min("fp").alias("a"), F.max("fp").alias("b"), F.count(F.lit(1)).alias("n"))
     pairs = buckets.where("n = 2").select("a", "b")
     # three to 65 distinct members, by the geometry of the ball; the same shuffle is read again for them
