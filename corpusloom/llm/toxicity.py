@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -138,20 +137,16 @@ def _shares(votes: Votes, q: np.ndarray) -> np.ndarray:
     total = votes.by_term(q)
     rate = total / max(q.sum(), 1e-9)
     spread = np.sqrt(np.maximum(rate * (1 - rate), 1e-12))
-    pairs: Counter = Counter()
+    together = np.zeros((votes.m, votes.m), np.float32)  # at most TERMS x TERMS, 64 MB
     start = np.searchsorted(votes.rows, np.arange(votes.n + 1))
     for row in np.flatnonzero(q > 0.5).tolist():
         mine = votes.terms[start[row] : start[row + 1]]
-        for a in mine.tolist():
-            for b in mine.tolist():
-                if a < b:
-                    pairs[a, b] += q[row]
+        together[np.ix_(mine, mine)] += q[row]
     correlated = np.zeros(votes.m)
-    for (a, b), together in pairs.items():
-        rho = (together / q.sum() - rate[a] * rate[b]) / (spread[a] * spread[b])
-        if rho > 0.1:
-            correlated[a] += rho
-            correlated[b] += rho
+    for a in range(votes.m):
+        rho = (together[a] / max(q.sum(), 1e-9) - rate[a] * rate) / (spread[a] * spread)
+        rho[a] = 0
+        correlated[a] = rho[rho > 0.1].sum()
     return 1 / (1 + correlated)
 
 
