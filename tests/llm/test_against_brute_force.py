@@ -301,6 +301,35 @@ def test_paragraphs(spark):
     assert paragraphs.recall(0.8, paragraphs.BANDS, paragraphs.ROWS) > 0.99 and paragraphs.tune_bands(0.8, 0.995, 12) == (6, 2)
 
 
+def test_passages_of_short_sentences(spark):
+    random.seed(3)
+    word = lambda: "".join(random.choice("abcdefg") for _ in range(6))
+    say = lambda n: " ".join(word() for _ in range(n))
+    short = " ".join(say(3) + "." for _ in range(20))
+    line, far = say(6), say(20)
+    edited = far.split()
+    edited[10] = "changed"
+    texts = {1: short, 2: f"{say(12)}. {short} {say(12)}.", 3: line, 4: f"{say(20)}.\n{line}", 5: f"{far}. {say(60)}.", 6: say(30), 7: "One. Two."}
+    texts[8] = texts[5].replace(far, " ".join(edited))  # a sentence at 0.5 in a line above 0.8
+    texts[9] = "a b c\nd e f\ng h i\n\nj k l"
+    texts[10] = "m n o\n\na b c\nd e\nf g h i"  # a block with other line ends
+    rows = paragraphs.duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    gone = {i: {k for r in rows if r.doc_id == i and r.removed for k in range(r.start, r.end)} for i in texts}
+    assert {i for i, places in gone.items() if places} == {2, 4, 8, 10}
+    for i, passage in ((2, short), (4, line), (8, texts[8]), (10, "a b c\nd e\nf g h i")):
+        at = texts[i].index(passage)
+        assert gone[i] == set(range(at, at + len(passage)))
+
+
+def test_a_paragraph_is_no_copy_of_what_overlaps_it(spark):
+    long = " ".join(f"w{i}" for i in range(30))
+    rows = paragraphs.duplicates(spark.createDataFrame([(1, f"So. {long}. It is."), (2, f"{long[1:]}. No. {long[1:]}.")], "doc_id long, text string")).collect()
+    assert {r.kept_doc_id for r in rows} == {1} and {r.removed for r in rows if r.doc_id == 1} == {False} and {r.removed for r in rows if r.doc_id == 2} == {True}
+    alone = [(1, f"So. {long}. It is.")]
+    assert paragraphs.duplicates(spark.createDataFrame(alone, "doc_id long, text string")).count() == 0
+    assert sorted(r.removed for r in paragraphs.duplicates(spark.createDataFrame(alone * 2, "doc_id long, text string")).collect() if r.start == 0) == [False] * 2 + [True] * 2
+
+
 def test_crowds_are_compared_exactly():
     random.seed(4)
     base = [{random.getrandbits(60) for _ in range(50)} for _ in range(12)]
