@@ -330,6 +330,31 @@ def test_a_paragraph_is_no_copy_of_what_overlaps_it(spark):
     assert sorted(r.removed for r in paragraphs.duplicates(spark.createDataFrame(alone * 2, "doc_id long, text string")).collect() if r.start == 0) == [False] * 2 + [True] * 2
 
 
+def near_lines(texts):
+    """Pairs of distinct lines of five words and more at 0.8, from all that share a shingle."""
+    lines = sorted({tuple(w) for t in texts for x in t.split("\n") if len(w := WORD.findall(x)) >= 5})
+    sets = [{x[i : i + 5] for i in range(len(x) - 4)} for x in lines]
+    index = {}
+    for i, s in enumerate(sets):
+        for h in s:
+            index.setdefault(h, []).append(i)
+    met = {(i, j) for at in index.values() for k, j in enumerate(at) for i in at[:k] if min(len(sets[i]), len(sets[j])) >= 0.8 * max(len(sets[i]), len(sets[j]))}
+    return [(lines[i], lines[j]) for i, j in sorted(met) if paragraphs.jaccard(sets[i], sets[j]) >= 0.8]
+
+
+def test_whole_lines_link(spark):
+    docs = common.documents(spark, "/root/testdata/sf0.01")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    component = {}
+    for r in paragraphs.duplicates(docs).collect():
+        words = tuple(WORD.findall(texts[r.doc_id].encode()[r.start : r.end].decode()))
+        component.setdefault(words, r.component_id)
+    pairs = near_lines(texts.values())
+    found = sum(component.get(a, 1) == component.get(b, 2) for a, b in pairs)
+    print(f"{found} of {len(pairs)} near pairs of lines")
+    assert len(pairs) > 10 and found >= 0.98 * len(pairs)
+
+
 def test_crowds_are_compared_exactly():
     random.seed(4)
     base = [{random.getrandbits(60) for _ in range(50)} for _ in range(12)]
