@@ -28,9 +28,9 @@ def _pair(question: Column, answer: Column, intent: str | None, domain: Column |
     return F.struct(question.alias("question"), answer.alias("answer"), (F.lit(intent) if intent else none).alias("intent"), (none if domain is None else domain).alias("domain"), F.lit(confidence).alias("confidence"))
 
 
-def from_faq(text: Column, limit: int = 50_000) -> Column:
-    """Pairs whose cleaned question and answer both have more than 10 characters; the patterns see ``limit`` characters, as a page's content has."""
-    t = F.substring(F.coalesce(text, F.lit("")), 1, limit)
+def from_faq(text: Column) -> Column:
+    """Pairs whose cleaned question and answer both have more than 10 characters, of the whole text."""
+    t = F.coalesce(text, F.lit(""))
     groups = []
     for pattern in FAQ:
         p = F.lit("(?isu)" + pattern)

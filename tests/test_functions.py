@@ -111,6 +111,13 @@ def test_questions(on):
     assert (html[0]["question"], html[0]["answer"]) == ("Where do I go?", "To the clinic nearby")
 
 
+def test_questions_late_in_a_long_text(on):
+    pair = "<h2>Q: Where do I go?</h2> <p>A: To the clinic nearby</p>"
+    for before in (49_980, 120_000):
+        found = on(["x" * before + pair], questions.from_faq)[0]
+        assert [(p["question"], p["answer"]) for p in found] == [("Where do I go?", "To the clinic nearby")]
+
+
 def test_hashes(on):
     a, b, c, d = on(["Hello,  World!", "hello world", "a - b", "a b"], hashing.content_hash)
     assert a == b and a.startswith("b94d27b9934d") and c != d
