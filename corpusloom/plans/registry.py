@@ -44,6 +44,13 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def with_sentences(rows: DataFrame, *columns) -> DataFrame:
+    """Rows of an id, more columns and a text, and SENTENCES with ids below zero; a further column of theirs is zero."""
+    spark = rows.sparkSession
+    own = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(SENTENCES)], "id long, text string")
+    return rows.select(*columns).union(own.select("id", *[F.lit(0)] * (len(columns) - 2), "text"))
+
+
 def r6(c) -> F.Column:
     return F.round(c, 6)
 
@@ -145,7 +152,7 @@ def health_numbers(spark, sf_dir):
 
 @query
 def preprocess_sentences(spark, sf_dir):
-    s = spark.createDataFrame([(i, t) for i, t in enumerate(SENTENCES)], "id int, text string")
+    s = with_sentences(docs(spark, sf_dir), F.col("doc_id").alias("id"), "text")
     p = s.select("id", preprocess.preprocess(F.col("text")).alias("p"))
     return p.select("id", "p.cleaned", "p.pii_removed", F.array_join(F.transform("p.pii", lambda x: x["kind"]), "|").alias("kinds"), F.array_join("p.sentences", "|").alias("sentences"))
 
@@ -163,9 +170,9 @@ def intent_primary(spark, sf_dir):
 
 @query
 def intent_scores(spark, sf_dir):
-    s = spark.createDataFrame([(i, t) for i, t in enumerate(SENTENCES)], "id int, text string")
-    rows = s.select("id", F.explode(intents.scored(F.col("text"))).alias("r"))
-    return rows.select("id", "r.intent", r6(F.col("r.score")).alias("score"), F.size("r.patterns").alias("n_patterns"))
+    s = with_sentences(turns(spark, sf_dir), F.col("conv_id").alias("id"), "turn", "text")
+    rows = s.select("id", "turn", F.explode(intents.scored(F.col("text"))).alias("r"))
+    return rows.select("id", "turn", "r.intent", r6(F.col("r.score")).alias("score"), F.size("r.patterns").alias("n_patterns"))
 
 
 @query
@@ -176,7 +183,7 @@ def domain_primary(spark, sf_dir):
 
 @query
 def domain_tags(spark, sf_dir):
-    s = spark.createDataFrame([(i, t) for i, t in enumerate(SENTENCES)], "id int, text string")
+    s = with_sentences(docs(spark, sf_dir), F.col("doc_id").alias("id"), "text")
     rows = s.select("id", F.explode(domains.tag(F.col("text"))["all_domains"]).alias("d"))
     return rows.select("id", "d.domain", r6(F.col("d.confidence")).alias("confidence"), F.size("d.matched_keywords").alias("n_keywords"))
 
@@ -203,9 +210,12 @@ def faq_pairs(spark, sf_dir):
 
 @query
 def page_questions(spark, sf_dir):
-    own = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(SENTENCES)], "id long, text string")
-    rows = own.select("id", F.posexplode(questions.from_content(F.col("text"), entities.extract(F.col("text")))).alias("number", "p"))
-    return rows.select("id", "number", "p.question", "p.answer", "p.intent", "p.domain", "p.confidence")
+    html = F.col("html")
+    found = questions.first_of_each(F.concat(questions.from_faq(html), questions.from_entities(entities.extract(F.col("plain")), F.col("plain"))))
+    of_pages = table(spark, sf_dir, "pages").withColumn("plain", questions.plain(html)).select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.posexplode(found).alias("number", "p"))
+    texts = with_sentences(docs(spark, sf_dir), F.col("doc_id").alias("id"), "text")
+    of_texts = texts.select(F.lit("document").alias("kind"), "id", F.posexplode(questions.from_content(F.col("text"), entities.extract(F.col("text")))).alias("number", "p"))
+    return of_pages.union(of_texts).select("kind", "id", "number", "p.question", "p.answer", "p.intent", "p.domain", "p.confidence")
 
 
 # -- question-answer requests --

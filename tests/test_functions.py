@@ -118,6 +118,20 @@ def test_questions_late_in_a_long_text(on):
         assert [(p["question"], p["answer"]) for p in found] == [("Where do I go?", "To the clinic nearby")]
 
 
+def test_fixture_queries_run_over_tables(spark, tmp_path):
+    from corpusloom.plans import registry
+
+    text = "National Hospital is located in Colombo. Open 24 hours."
+    spark.createDataFrame([(1, f"<p>{text}</p>")], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([(2, f"{text} Where is the dengue clinic located?")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(3, 5, "Where is the dengue clinic located?")], "conv_id long, turn int, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    ids = lambda name: {r.id for r in registry.QUERIES[name](spark, str(tmp_path)).collect()}
+    rows = registry.page_questions(spark, str(tmp_path)).collect()
+    assert {(r.kind, r.id) for r in rows} >= {("page", 1), ("document", 2), ("document", -20)}
+    assert {r.answer for r in rows if r.id == 1} == {"National Hospital is located in Colombo."}
+    assert 3 in ids("intent_scores") and -5 in ids("intent_scores") and 2 in ids("domain_tags") and 2 in ids("preprocess_sentences")
+
+
 def test_hashes(on):
     a, b, c, d = on(["Hello,  World!", "hello world", "a - b", "a b"], hashing.content_hash)
     assert a == b and a.startswith("b94d27b9934d") and c != d
