@@ -29,7 +29,7 @@ def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraphs.duplicates(documents(spark, sf_dir))
+    return paragraphs.duplicates(documents(spark, sf_dir), least_line=paragraphs.PASSAGE, least_run=paragraphs.PASSAGE)
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
