@@ -1,13 +1,16 @@
 """Host-level quality rules.
 
-Every document is measured by fixed rules. The failures are aggregated by host, each host's failure
-rate is shrunk with a beta prior whose two parameters are estimated from all hosts by moments
-(empirical Bayes), and the host's verdict is joined back to its documents. A document is kept when it
-passes the base rules itself and its host isn't rejected.
+Every document is measured by fixed rules: too short, repetitive, full of symbols, full of repeated lines.
+The failures of each rule are aggregated by host, and each host's rate is shrunk with a beta prior of that
+rule, whose two parameters are estimated from all hosts by moments (empirical Bayes). A host is rejected
+when, for any rule, the lower bound of its posterior rate (``SURE`` standard deviations below the mean) lies
+above ``FACTOR`` times the hosts' mean rate, but never below ``LEAST`` and always above ``MOST``: it fails
+surely more often than hosts do, and often. The verdict is joined back to the host's documents: a document
+is kept when it passes the base rules itself and its host isn't rejected.
 
 Defined results: a null text has no words and fails as too short; a null host is a host of its own; an
 empty table gives an empty result; repeated rows each get a row; other columns, whatever their names,
-are left out.
+are left out; where all hosts fail alike, or there is one host only, none stands out unless above ``MOST``.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from .common import checkpoint, map_arrow, utf8
 
 _SPACES = b" \t\n\r\x0b\f"
 _SYMBOLS = b"#*$%&|<>"
+FACTOR, LEAST, MOST, SURE = 2.0, 0.25, 0.5, 1.645
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
@@ -74,40 +78,48 @@ def measures(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     return map_arrow(docs, [*keep, text], run, schema)
 
 
+#: The rules whose failures are counted by host. The first two are the base rules.
+RULES = {
+    "short": "n_words < 50",
+    "repeats": "100 * n_repeat_words > 50 * n_words",
+    "symbols": "10 * n_symbols > word_chars",
+    "lines": "20 * n_dup_lines > n_words",
+}
+
+
 def base_failed() -> F.Column:
-    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return F.expr(RULES["short"]) | F.expr(RULES["repeats"])
 
 
-def host_verdicts(measured: DataFrame, host: str = "source", reject_above: float = 0.5) -> DataFrame:
-    """One row for each host: its documents, failures by rule, shrunk failure rate and verdict.
+def host_verdicts(measured: DataFrame, host: str = "source") -> DataFrame:
+    """One row for each host: its documents, failures and lower bounded rate by rule, and verdict.
 
-    The prior is Beta(a, b) with the mean and the variance of the hosts' raw rates; where the rates don't
-    vary (or there is one host only) the prior weighs as much as ``1e6`` documents of mean rate, capped
-    by moments as usual, so that a host of few documents is judged as the average host is.
+    A rule's prior is Beta(a, b) with the mean and the variance of the hosts' raw rates; where the rates don't
+    vary the prior weighs as much as ``1e6`` documents of mean rate, so that a host is judged as the average is.
     """
-    failed = base_failed().cast("long")
     hosts = measured.groupBy(F.col(host).alias("host")).agg(
-        F.count(F.lit(1)).alias("host_docs"),
-        F.sum(failed).alias("host_failed"),
-        F.sum((F.col("n_words") < 50).cast("long")).alias("failed_short"),
-        F.sum((100 * F.col("n_repeat_words") > 50 * F.col("n_words")).cast("long")).alias("failed_repeats"),
-        F.sum((10 * F.col("n_symbols") > F.col("word_chars")).cast("long")).alias("failed_symbols"),
-        F.sum((2 * F.col("n_dup_lines") > F.col("n_words")).cast("long")).alias("failed_lines"),
+        F.count(F.lit(1)).alias("host_docs"), *[F.sum(F.expr(rule).cast("long")).alias(f"failed_{name}") for name, rule in RULES.items()]
     )
-    rate = F.col("host_failed") / F.col("host_docs")
-    # One row whatever the size of the input: mean and variance of the hosts' rates.
-    m, v = hosts.agg(F.avg(rate), F.var_pop(rate)).first()
-    m, v = m or 0.0, v or 0.0
-    weight = min(1e6, max(1.0, m * (1 - m) / v - 1)) if v > 1e-12 else 1e6
-    shrunk = (F.col("host_failed") + m * weight) / (F.col("host_docs") + weight)
-    return hosts.withColumn("host_rate", shrunk).withColumn("host_rejected", F.col("host_rate") > reject_above)
+    rates = {name: F.col(f"failed_{name}") / F.col("host_docs") for name in RULES}
+    # one row whatever the size of the input: mean and variance of the hosts' rates for each rule
+    moments = hosts.agg(*[f(rates[name]) for name in RULES for f in (F.avg, F.var_pop)]).first()
+    rejected = F.lit(False)
+    for i, name in enumerate(RULES):
+        m, v = moments[2 * i] or 0.0, moments[2 * i + 1] or 0.0
+        weight = min(1e6, max(1.0, m * (1 - m) / v - 1)) if v > 1e-12 else 1e6
+        total = F.col("host_docs") + weight
+        mean = (F.col(f"failed_{name}") + m * weight) / total
+        lower = mean - SURE * F.sqrt(mean * (1 - mean) / (total + 1))
+        hosts = hosts.withColumn(f"rate_{name}", mean).withColumn(f"lower_{name}", lower)
+        rejected = rejected | (F.col(f"lower_{name}") > min(MOST, max(LEAST, FACTOR * m)))
+    return hosts.withColumn("host_rejected", rejected)
 
 
 def apply(docs: DataFrame, id: str = "doc_id", host: str = "source", text: str = "text") -> DataFrame:
     """Measures, base verdict, host verdict and ``kept`` of each document; texts are read once."""
     renamed = docs.select(F.col(id).alias("doc_id"), F.col(host).alias("source"), F.col(text).alias("text"))
     measured = checkpoint(measures(renamed, ["doc_id", "source"]))
-    hosts = host_verdicts(measured).select("host", "host_rate", "host_rejected")
+    hosts = host_verdicts(measured).select("host", "host_rejected")
     joined = measured.join(hosts, measured["source"].eqNullSafe(hosts["host"]), "left")
     return joined.withColumn("base_failed", base_failed()).withColumn(
         "kept", ~F.col("base_failed") & ~F.coalesce("host_rejected", F.lit(False))

@@ -28,15 +28,21 @@ with words as (
   from words left join covered using (doc_id) left join lines using (doc_id)
 ), judged as (
   select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from base
-), hosts as (
-  select source, count(*) as n, count(*) filter (base_failed) as f from judged group by source
+), failures as (
+  select source, count(*) as n, [count(*) filter (n_words < 50), count(*) filter (100 * n_repeat_words > 50 * n_words),
+    count(*) filter (10 * n_symbols > word_chars), count(*) filter (20 * n_dup_lines > n_words)] as f from judged group by source
+), rates as (
+  select source, n, r, f[r] as f from failures, range(1, 5) as x(r)
 ), prior as (
-  select m, case when v > 1e-12 then least(1e6, greatest(1.0, m * (1 - m) / v - 1)) else 1e6 end as k
-  from (select avg(f / n) as m, var_pop(f / n) as v from hosts)
+  select r, m, case when v > 1e-12 then least(1e6, greatest(1.0, m * (1 - m) / v - 1)) else 1e6 end as k
+  from (select r, avg(f / n) as m, var_pop(f / n) as v from rates group by r)
+), posterior as (
+  select source, m, (f + m * k) / (n + k) as p, n + k as t from rates join prior using (r)
+), rejected as (
+  select source, bool_or(p - 1.645 * sqrt(p * (1 - p) / (t + 1)) > least(0.5, greatest(0.25, 2 * m))) as gone from posterior group by source
 )
-select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  not base_failed and not ((f + m * k) / (n + k) > 0.5) as kept
-from judged join hosts on judged.source is not distinct from hosts.source, prior
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not gone as kept
+from judged join rejected on judged.source is not distinct from rejected.source
 """
 
 _GUARD = GUARD.replace("'", "''")

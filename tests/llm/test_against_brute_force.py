@@ -289,6 +289,51 @@ def test_host_verdicts(spark):
     assert not found[200].kept and not found[200].base_failed and found[300].kept
 
 
+def _planted_hosts():
+    """Ten hosts of 200 documents; one fails by short texts, one by symbols, one by repeated lines, each in most documents."""
+    random.seed(6)
+    say = lambda n: " ".join("".join(random.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    made = []
+    for i in range(2000):
+        host, bad = i % 10, random.random()
+        text = say(60)
+        if host == 1 and bad < 0.7 or bad > 0.95:
+            text = say(20)
+        elif host == 2 and bad < 0.6:
+            text = "# & # & " * 40 + say(60)
+        elif host == 3 and bad < 0.8:
+            text = "a line\n" * 8 + say(90)
+        elif host == 4 and bad < 0.12:
+            text = say(20)
+        made.append((i, text, f"h{host}"))
+    return made
+
+
+def test_hosts_are_rejected_by_any_rule(spark):
+    import duckdb
+    import pandas as pd
+
+    made = _planted_hosts()
+    docs = spark.createDataFrame(made, "doc_id long, text string, source string")
+    found = {r.doc_id: r for r in host_rules.apply(docs).collect()}
+    assert {r.source for r in found.values() if r.host_rejected} == {"h1", "h2", "h3"}
+    dropped = [i for i, r in found.items() if not r.base_failed and not r.kept]
+    assert len(dropped) > 300 and all(found[i].source in ("h1", "h2", "h3") for i in dropped)
+    assert all(r.kept == (not r.base_failed) for r in found.values() if r.source not in ("h1", "h2", "h3"))
+    # the statement for SQL, over the same rows
+    documents = pd.DataFrame(made, columns=["doc_id", "text", "source"])  # noqa: F841
+    plain = duckdb.sql(queries.oracle_sql()["op3_host_rules"]).fetchall()
+    assert {r[0]: r[-1] for r in plain} == {i: r.kept for i, r in found.items()}
+    # the bound, spelled out for one host and rule
+    symbols = lambda t: 10 * len(re.findall(r"[#*$%&|<>]", t)) > sum(map(len, WORD.findall(t)))
+    rate = {h: sum(symbols(t) for _, t, s in made if s == h) / 200 for h in {s for _, _, s in made}}
+    mean = sum(rate.values()) / 10
+    weight = max(1, mean * (1 - mean) / (sum((r - mean) ** 2 for r in rate.values()) / 10) - 1)
+    p = (200 * rate["h2"] + mean * weight) / (200 + weight)
+    verdict = host_rules.host_verdicts(host_rules.measures(docs, ["source"])).where("host = 'h2'").first()
+    assert verdict.rate_symbols == pytest.approx(p) and verdict.lower_symbols == pytest.approx(p - 1.645 * (p * (1 - p) / (201 + weight)) ** 0.5)
+
+
 def test_paragraphs(spark):
     random.seed(2)
     word = lambda: "".join(random.choice("abcdefg") for _ in range(6))
@@ -330,16 +375,16 @@ def test_a_paragraph_is_no_copy_of_what_overlaps_it(spark):
     assert sorted(r.removed for r in paragraphs.duplicates(spark.createDataFrame(alone * 2, "doc_id long, text string")).collect() if r.start == 0) == [False] * 2 + [True] * 2
 
 
-def near_lines(texts):
-    """Pairs of distinct lines of five words and more at 0.8, from all that share a shingle."""
+def near_lines(texts, similarity=0.8):
+    """Pairs of distinct lines of five words and more that similar, from all that share a shingle."""
     lines = sorted({tuple(w) for t in texts for x in t.split("\n") if len(w := WORD.findall(x)) >= 5})
     sets = [{x[i : i + 5] for i in range(len(x) - 4)} for x in lines]
     index = {}
     for i, s in enumerate(sets):
         for h in s:
             index.setdefault(h, []).append(i)
-    met = {(i, j) for at in index.values() for k, j in enumerate(at) for i in at[:k] if min(len(sets[i]), len(sets[j])) >= 0.8 * max(len(sets[i]), len(sets[j]))}
-    return [(lines[i], lines[j]) for i, j in sorted(met) if paragraphs.jaccard(sets[i], sets[j]) >= 0.8]
+    met = {(i, j) for at in index.values() for k, j in enumerate(at) for i in at[:k] if min(len(sets[i]), len(sets[j])) >= similarity * max(len(sets[i]), len(sets[j]))}
+    return [(lines[i], lines[j]) for i, j in sorted(met) if paragraphs.jaccard(sets[i], sets[j]) >= similarity]
 
 
 def test_whole_lines_link(spark):
@@ -355,6 +400,66 @@ def test_whole_lines_link(spark):
     assert len(pairs) > 10 and found >= 0.98 * len(pairs)
 
 
+@pytest.mark.parametrize(("similarity", "hot"), [(0.5, paragraphs.HOT), (0.6, paragraphs.HOT), (0.6, 3), (0.8, 3)])
+def test_edited_paragraphs_link_at_other_similarities(spark, similarity, hot):
+    random.seed(8)
+    base = [[f"w{random.randrange(10**6)}" for _ in range(60)] for _ in range(12)]
+    texts = []
+    for i in range(150):
+        words = list(base[i % 12])
+        for at in random.sample(range(60), random.randint(0, 3)):
+            words[at] = f"x{random.randrange(10**6)}"
+        texts.append(" ".join(words))
+    pairs = near_lines(texts, similarity)
+    rows = paragraphs.duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), similarity=similarity, hot=hot).collect()
+    whole = {texts[r.doc_id]: r.component_id for r in rows if r.n_words == 60}
+    found = sum(whole.get(" ".join(a), 1) == whole.get(" ".join(b), 2) for a, b in pairs)
+    assert len(pairs) > 40 and found >= 0.98 * len(pairs)
+    root = {t: t for t in texts}
+    for a, b in pairs * 3:  # no component joins what no chain of pairs joins
+        a, b = root[" ".join(a)], root[" ".join(b)]
+        root |= {t: min(a, b) for t in texts if root[t] in (a, b)}
+    by = defaultdict(set)
+    for t, c in whole.items():
+        by[c].add(root[t])
+    assert all(len(x) == 1 for x in by.values())
+
+
+def test_repeated_passages_are_found_whole(spark, rows):
+    """Every run of whole sentences of 20 words at least that an earlier document has too goes, and nothing of what never repeats."""
+    least = paragraphs.PASSAGE
+    found = defaultdict(set)
+    for r in queries.op4_paragraphs(spark, SF).collect():
+        if r.removed:
+            found[r.doc_id] |= set(range(r.start, r.end))
+    sentences, first = {}, {}
+    for i, text, _ in sorted(rows):
+        b, cut, at = text.encode(), [], 0
+        for m in re.finditer(rb"(?<=[.!?])[ \t\r\x0b\f]+|\n|\Z", b):
+            words = re.findall(rb"[^\x20\x09-\x0D]+", b[at : m.start()])
+            if words:
+                lead = at + len(b[at : m.start()]) - len(b[at : m.start()].lstrip())
+                cut.append((lead, at + len(b[at : m.start()].rstrip()), words))
+            at = m.end()
+        sentences[i] = cut
+    n = 0
+    for i in sorted(sentences):
+        cut = sentences[i]
+        here = []
+        for a in range(len(cut)):
+            words = []
+            for b in range(a, len(cut)):
+                words += cut[b][2]
+                if len(words) >= least:
+                    here.append((tuple(words), a, b))
+                    break
+        for words, a, b in here:
+            if first.setdefault(words, i) != i:
+                n += 1
+                assert set(range(cut[a][0], cut[b][1])) <= found[i]
+    assert n > 50
+
+
 def test_crowds_are_compared_exactly():
     random.seed(4)
     base = [{random.getrandbits(60) for _ in range(50)} for _ in range(12)]
