@@ -15,7 +15,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from corpusloom.llm import bpe, chat, common, host_rules, media, mixing, paragraphs, queries, simhash, suffix
+from corpusloom.llm import bpe, chat, common, host_rules, media, mixing, paragraphs, queries, simhash, suffix, toxicity
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -501,6 +501,76 @@ def test_quality_on_held_out_rows(spark):
     assert sum(p == y for p, y in rows) / len(rows) > 0.97
 
 
+def _planted_votes(rng, n=4000):
+    """Ten voters after the forms: 0 to 5 independent, 6 to 9 copies of one source; 5 is right half the time only."""
+    y = rng.random(n) < 0.2
+    accuracy = [0.9, 0.8, 0.9, 0.8, 0.9, 0.5]
+    rate = [(0.6 * a / 0.2, 0.6 * (1 - a) / 0.8) for a in accuracy]
+    votes = np.stack([rng.random(n) < np.where(y, min(0.95, r[0] * 0.25), r[1] * 0.25) for r in rate], axis=1)
+    source = rng.random(n) < np.where(y, 0.3, 0.05)
+    copies = np.stack([source & (rng.random(n) < 0.95) for _ in range(4)], axis=1)
+    both = np.concatenate([votes, copies], axis=1)
+    k = len(toxicity.FORMS)
+    hits = [[k - 1] * (not row.any()) + (k + np.flatnonzero(row)).tolist() for row in both]
+    return y, both, toxicity.Votes(hits, k + 10)
+
+
+def test_label_model_finds_accuracies_and_correlated_voters():
+    y, both, votes = _planted_votes(np.random.default_rng(11))
+    k = len(toxicity.FORMS)
+    prior, weight = np.array([0.2] * 4 + [0.1] + [0.75] * 10), np.array([0.0] * k + [20.0] * 10)
+    model = toxicity.label_model(votes, 0.2, prior, weight)
+    true = np.array([y[both[:, j]].mean() for j in range(10)])
+    found = model.accuracy[k:]
+    assert np.abs(found[:5] - true[:5]).max() < 0.15 and found[5] < found[:5].min()
+    rho = np.concatenate([r for _, r in toxicity.correlations(votes, model.posterior, 4)])[k:, k:]
+    apart = ~np.eye(10, dtype=bool)
+    copies = np.zeros((10, 10), bool)
+    copies[6:, 6:] = True
+    assert rho[copies & apart].min() > 0.5 > 0.2 > np.abs(rho[~copies & apart]).max()
+    # votes of the copies share their weight, lone votes keep theirs
+    share = toxicity.shares(votes, model.posterior)
+    assert share[(votes.terms >= k + 6) & np.isin(votes.rows, np.flatnonzero(both[:, 6:].all(axis=1)))].max() < 0.45
+    alone = np.flatnonzero(both.sum(axis=1) == 1)
+    assert share[(votes.terms >= k) & np.isin(votes.rows, alone)].min() > 0.99
+    # correlations by blocks are those of the plain statement
+    q = model.posterior
+    dense = np.zeros((votes.n, votes.m))
+    dense[votes.rows, votes.terms] = 1
+    mean = (dense * q[:, None]).sum(0) / q.sum()
+    cov = (dense * q[:, None]).T @ dense / q.sum() - np.outer(mean, mean)
+    spread = np.sqrt(np.maximum(mean * (1 - mean), 1e-9))
+    plain = cov / np.outer(spread, spread)
+    np.fill_diagonal(plain, 0)
+    assert np.allclose(np.concatenate([r for _, r in toxicity.correlations(votes, q, 4)]), plain, atol=1e-3)
+    right = (model.posterior > 0.5) == y
+    assert right.mean() > 0.88 and abs(model.posterior.mean() - 0.2) < 1e-3
+
+
+def test_voters_of_a_text():
+    finder = toxicity.Finder(["=idiot", "achl-1", "achl-2", "achl-3", "long" * 40 + "-1", "=" + "w" * 90])
+    names = [*toxicity.FORMS, *finder.number]
+    say = lambda t: [names[i] for i in finder(t.encode())]
+    assert say("You Idiot.") == ["ended", "=idiot"] and say("") == ["silent"]
+    assert say("achlich achlich") == ["achl-1"] and say("achlich achlung") == ["achl-2"] and say("achla achlb achlc achld") == ["achl-3"]
+    assert say("w" * 90) == ["=" + "w" * 90] and say("w" * 91) == ["silent"]  # whole words, never their beginnings
+
+
+def test_copies_are_learned_from_once(spark):
+    text = " ".join(f"w{i}" for i in range(200))
+    rows = [(i, text, 1) for i in range(50)] + [(100, text + " more", 1), (200, "other words here", 0), (201, None, 0), (202, "", 0)]
+    kept = toxicity.families(spark.createDataFrame(rows, "d_id long, text string, y int")).collect()
+    assert sorted(r.d_id for r in kept) == [0, 200, 201]
+
+
+def test_toxicity_on_more_held_out_rows(spark):
+    sf = "/root/testdata/sf0.1"
+    y = {r.doc_id: r.toxic for r in queries.labels(spark, sf).collect()}
+    rows = [(r.predicted, y[r.doc_id]) for r in queries.op10_toxicity(spark, sf).collect() if r.held_out and r.doc_id in y]
+    caught = sum(p and t for p, t in rows)
+    assert caught >= 0.9 * sum(t for _, t in rows) and caught >= 0.95 * sum(p for p, _ in rows)
+
+
 def test_toxicity_on_held_out_rows(spark):
     rows = _held_out(spark, queries.op10_toxicity, "toxic")
     assert sum(p == y for p, y in rows) / len(rows) > 0.93
