@@ -9,7 +9,7 @@ from .lexicons import DOMAIN_DESCRIPTIONS, DOMAINS
 from .textkit import let, quote, whole, words
 
 
-def _matched(text: Column, own: Column, keywords: tuple[str, ...], indic: bool) -> Column:
+def _matched(text: Column, lower: Column, own: Column, keywords: tuple[str, ...], indic: bool) -> Column:
     """Distinct keywords found, in the lexicon's order. Single ASCII words are looked up among the words."""
     simple = [k for k in keywords if k.isascii() and k.isalnum()]
     tests = []
@@ -20,7 +20,8 @@ def _matched(text: Column, own: Column, keywords: tuple[str, ...], indic: bool)
             # marks belong to the word, so a keyword may end in one
             test = text.rlike(rf"(?<![\p{{L}}\p{{M}}\p{{N}}_]){quote(k)}(?![\p{{L}}\p{{M}}\p{{N}}_])")
         else:
-            test = text.rlike("(?iu)" + whole(k))
+            # the plain look-up rules nearly all texts out; a long s also counts as an s where case doesn't
+            test = (F.contains(lower, F.lit(k.lower())) | F.contains(text, F.lit("\u017f"))) & text.rlike("(?iu)" + whole(k))
         tests.append(F.when(test, F.lit(k)))
     return F.filter(F.array(*tests), lambda x: x.isNotNull())
 
@@ -34,9 +35,9 @@ def tag(text: Column, domains: dict[str, tuple[str, ...]] = DOMAINS, indic_bound
     t = F.coalesce(text, F.lit(""))
     score = lambda r: F.least(F.size(r["keywords"]) * 0.25 + 0.4, F.lit(1.0))
 
-    def hits(own: Column) -> Column:
+    def hits(lower: Column, own: Column) -> Column:
         rows = [
-            F.struct(F.lit(i).alias("ordinal"), F.lit(name).alias("domain"), _matched(t, own, keywords, indic_boundaries).alias("keywords"))
+            F.struct(F.lit(i).alias("ordinal"), F.lit(name).alias("domain"), _matched(t, lower, own, keywords, indic_boundaries).alias("keywords"))
             for i, (name, keywords) in enumerate(domains.items())
         ]
         return F.filter(F.array(*rows), lambda r: F.size(r["keywords"]) > 0)
@@ -44,7 +45,8 @@ def tag(text: Column, domains: dict[str, tuple[str, ...]] = DOMAINS, indic_bound
     def ranked(hit: Column) -> Column:
         return F.array_sort(F.transform(hit, lambda r: F.struct((-score(r)).alias("rank"), r["ordinal"].alias("ordinal"), r["domain"].alias("domain"), score(r).alias("confidence"), r["keywords"].alias("keywords"))))
 
-    return let(let(words(F.lower(t)), hits), lambda hit: let(ranked(hit), lambda best: _tagged(t, hit, best)))
+    found = let(F.lower(t), lambda lower: let(words(lower), lambda own: hits(lower, own)))
+    return let(found, lambda hit: let(ranked(hit), lambda best: _tagged(t, hit, best)))
 
 
 def _tagged(t: Column, hit: Column, ranked: Column) -> Column:
@@ -59,7 +61,8 @@ def _tagged(t: Column, hit: Column, ranked: Column) -> Column:
 
 def keywords_of(text: Column, domain: str, domains: dict[str, tuple[str, ...]] = DOMAINS) -> Column:
     """Distinct keywords of one domain in the text, sorted, in the text's own spelling lowered."""
-    return F.array_sort(F.array_distinct(F.transform(_matched(F.coalesce(text, F.lit("")), words(F.lower(F.coalesce(text, F.lit("")))), domains[domain], False), lambda k: F.lower(k))))
+    t = F.coalesce(text, F.lit(""))
+    return F.array_sort(F.array_distinct(F.transform(_matched(t, F.lower(t), words(F.lower(t)), domains[domain], False), lambda k: F.lower(k))))
 
 
 def description(domain: Column) -> Column:

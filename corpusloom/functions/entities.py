@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from functools import cache
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .lexicons import GAZETTEER, Name
-from .textkit import WORD_CHAR, bounded, let, spans, whole
+from .textkit import WORD_CHAR, bounded, let, whole
 
 CATEGORIES = ("hospital", "disease", "symptom", "clinic")
 _DAYS = "|".join(d + "day" for d in ("Satur", "Sun", "Mon", "Tues", "Wednes", "Thurs", "Fri"))
@@ -21,90 +25,89 @@ PATTERNS = (
     ("phone", rf"(?<={WORD_CHAR})\+94\s?\d{{9}}(?!{WORD_CHAR})", True),
 )
 _ENTITY = "array<struct<start:int,rank:double,ordinal:int,end:int,type:string,text:string,normalized:string,confidence:double,place:string,kind:string>>"
-
-
-def _lexicon(names: tuple[Name, ...], category: str) -> Column:
-    """Literal array of the category's aliases, each with its pattern, canonical name and record."""
-    rows: dict[str, tuple[str, Name]] = {}
-    for name in names:
-        if name.category == category:
-            for alias in name.aliases:
-                rows[alias.lower()] = (name.canonical, name)
-    cells = [
-        F.struct(F.lit(a).alias("alias"), F.lit(whole(a)).alias("pattern"), F.lit(c).alias("canonical"), F.lit(n.place).alias("place"), F.lit(n.kind).alias("kind"))
-        for a, (c, n) in rows.items()
-    ]
-    return F.array(*cells)
-
-
-def _gazetteer(text: Column, lower: Column, names: tuple[Name, ...], category: str, base: int) -> Column:
-    def entity(start: Column, end: Column, row: Column, confidence: float, ordinal: int) -> Column:
-        return F.struct(
-            start.cast("int").alias("start"), F.lit(-confidence).alias("rank"), F.lit(ordinal).alias("ordinal"), end.cast("int").alias("end"), F.lit(category).alias("type"),
-            F.substring(text, start + 1, end - start).alias("text"), row["canonical"].alias("normalized"), F.lit(confidence).alias("confidence"), row["place"].alias("place"), row["kind"].alias("kind"),
-        )
-
-    near = F.filter(_lexicon(names, category), lambda r: F.contains(lower, r["alias"]))
-
-    def occurrences(row: Column) -> Column:
-        marked = F.regexp_replace(lower, F.concat(F.lit("("), row["pattern"], F.lit(")")), F.lit("\u0001$1\u0001"))
-        parts = F.split(marked, "\u0001", -1)
-        odd = F.filter(F.transform(parts, lambda p, i: F.struct(i.alias("i"), p.alias("p"))), lambda x: x["i"] % 2 == 1)
-        before = lambda i: F.aggregate(F.slice(parts, F.lit(1), i), F.lit(0), lambda n, p: n + F.length(p))
-        return F.transform(odd, lambda x: entity(before(x["i"]), before(x["i"]) + F.length(x["p"]), row, 0.9, base))
-
-    by_alias = F.flatten(F.transform(near, occurrences))
-    canonical = [n for n in names if n.category == category]
-    cells = [F.struct(F.lit(n.canonical.lower()).alias("low"), F.lit(n.canonical).alias("canonical"), F.lit(n.place).alias("place"), F.lit(n.kind).alias("kind")) for n in canonical]
-    whole_names = F.filter(F.array(*cells), lambda r: F.contains(lower, r["low"]))
-    start = lambda r: F.position(r["low"], lower) - 1
-    by_name = F.transform(whole_names, lambda r: entity(start(r), start(r) + F.length(r["low"]), r, 1.0, base + 1))
-    return F.concat(by_alias, by_name).cast(_ENTITY)
-
-
-def _pattern(text: Column, kind: str, body: str, as_is: bool, ordinal: int) -> Column:
-    flag = "" if kind == "phone" else "(?i)"
-    pattern = f"(?<!{WORD_CHAR})(?:{body})" if as_is and kind == "time" else body if as_is else bounded(body)
-    # the flag goes before the group that spans() puts around the pattern
-    found = spans(text, f"(?:{flag}{pattern})" if not flag else f"(?i:{pattern})")
-    row = lambda s: F.struct(
-        s["start"].alias("start"), F.lit(-0.95).alias("rank"), F.lit(ordinal).alias("ordinal"), s["end"].alias("end"), F.lit(kind).alias("type"), s["text"].alias("text"),
-        F.lit(None).cast("string").alias("normalized"), F.lit(0.95).alias("confidence"), F.lit("").alias("place"), F.lit("").alias("kind"),
-    )
-    return F.transform(found, row).cast(_ENTITY)
-
-
-def without_overlaps(found: Column) -> Column:
-    """Greedy: by start, then the more confident; an entity that starts before the last kept one ends is dropped."""
-    empty = F.expr(f"cast(array() as {_ENTITY})")
-    begin = F.struct(F.lit(-1).alias("end"), empty.alias("kept"))
-
-    def step(acc: Column, e: Column) -> Column:
-        fits = e["start"] >= acc["end"]
-        return F.struct(F.when(fits, e["end"]).otherwise(acc["end"]).alias("end"), F.when(fits, F.concat(acc["kept"], F.array(e))).otherwise(acc["kept"]).alias("kept"))
-
-    return F.aggregate(F.array_sort(found), begin, step, lambda acc: acc["kept"])
+_FIELDS = [("start", pa.int32()), ("rank", pa.float64()), ("ordinal", pa.int32()), ("end", pa.int32()), ("type", pa.string()), ("text", pa.string()), ("normalized", pa.string()), ("confidence", pa.float64()), ("place", pa.string()), ("kind", pa.string())]
+_COLUMN = pa.list_(pa.struct(_FIELDS))
+
+
+def compiled(pattern: str, flags: int = 0) -> re.Pattern:
+    """A pattern of this package for Python, whose word characters are the same."""
+    return re.compile(pattern.replace(WORD_CHAR, r"\w"), flags)
+
+
+class Finder:
+    """All entities of a text in one pass for each known name and pattern, so time grows with the text's length."""
+
+    def __init__(self, names: tuple[Name, ...]):
+        self.aliases: list[tuple[str, re.Pattern, str, int, str, Name]] = []
+        self.names: list[tuple[str, str, int, str, Name]] = []
+        for i, category in enumerate(CATEGORIES):
+            rows: dict[str, Name] = {}
+            for name in names:
+                if name.category == category:
+                    rows |= {alias.lower(): name for alias in name.aliases}
+                    self.names.append((name.canonical.lower(), name.canonical, 10 * i + 1, category, name))
+            self.aliases += [(a, compiled(whole(a)), n.canonical, 10 * i, category, n) for a, n in rows.items()]
+        self.patterns: list[tuple[re.Pattern, int, str]] = []
+        for i, (kind, body, as_is) in enumerate(PATTERNS):
+            pattern = f"(?<!{WORD_CHAR})(?:{body})" if as_is and kind == "time" else body if as_is else bounded(body)
+            self.patterns.append((compiled(pattern, 0 if kind == "phone" else re.IGNORECASE), 100 + i, kind))
+
+    def __call__(self, text: str) -> list[dict]:
+        lower, found = text.lower(), []
+        for alias, pattern, canonical, ordinal, category, name in self.aliases:
+            if alias in lower:
+                for m in pattern.finditer(lower):
+                    found.append((m.start(), -0.9, ordinal, m.end(), category, text[m.start() : m.end()], canonical, name.place, name.kind))
+        for low, canonical, ordinal, category, name in self.names:
+            if (at := lower.find(low)) >= 0:
+                found.append((at, -1.0, ordinal, at + len(low), category, text[at : at + len(low)], canonical, name.place, name.kind))
+        for pattern, ordinal, kind in self.patterns:
+            for m in pattern.finditer(text):
+                found.append((m.start(), -0.95, ordinal, m.end(), kind, m[0], None, "", ""))
+        found.sort(key=lambda e: e[:6])
+        kept, last = [], -1
+        # by start, then the more confident; what starts before the last kept one ends is dropped
+        for start, rank, ordinal, end, kind, said, canonical, place, what in found:
+            if start >= last:
+                last = end
+                kept.append({"start": start, "rank": rank, "ordinal": ordinal, "end": end, "type": kind, "text": said, "normalized": canonical, "confidence": -rank, "place": place, "kind": what})
+        return kept
+
+
+@cache
+def finder_of(names: tuple[Name, ...]) -> Finder:
+    return Finder(names)
 
 
 def extract(text: Column, names: tuple[Name, ...] = GAZETTEER) -> Column:
-    """array<entity> in order of start, without overlaps."""
-    return let(F.coalesce(text, F.lit("")), lambda t: let(F.lower(t), lambda lower: _extracted(t, lower, names)))
+    """array<entity> in order of start, without overlaps; a null text has none."""
+
+    @F.arrow_udf(_ENTITY)
+    def found(texts: pa.Array) -> pa.Array:
+        from corpusloom.functions.entities import finder_of  # by name: the worker's own
 
+        finder = finder_of(names)
+        return pa.array([finder(t) for t in texts.to_pylist()], _COLUMN)
 
-def _extracted(t: Column, lower: Column, names: tuple[Name, ...]) -> Column:
-    groups = [_gazetteer(t, lower, names, c, 10 * i) for i, c in enumerate(CATEGORIES)]
-    groups += [_pattern(t, kind, body, as_is, 100 + i) for i, (kind, body, as_is) in enumerate(PATTERNS)]
-    return without_overlaps(F.concat(*groups))
+    return found(F.coalesce(text, F.lit("")))
 
 
 def counts(entities: Column) -> Column:
     """map<type, number>."""
-    types = F.array_distinct(F.transform(entities, lambda e: e["type"]))
-    return F.map_from_entries(F.transform(types, lambda k: F.struct(k, F.size(F.filter(entities, lambda e: e["type"] == k)))))
+
+    def of(entities: Column) -> Column:
+        types = F.array_distinct(F.transform(entities, lambda e: e["type"]))
+        return F.map_from_entries(F.transform(types, lambda k: F.struct(k, F.size(F.filter(entities, lambda e: e["type"] == k)))))
+
+    return let(entities, of)
 
 
 def summary(entities: Column) -> Column:
     """map<type, distinct names> (normalized, else as written), in order of appearance."""
-    types = F.array_distinct(F.transform(entities, lambda e: e["type"]))
-    named = lambda k: F.array_distinct(F.transform(F.filter(entities, lambda e: e["type"] == k), lambda e: F.coalesce(e["normalized"], e["text"])))
-    return F.map_from_entries(F.transform(types, lambda k: F.struct(k, named(k))))
+
+    def of(entities: Column) -> Column:
+        types = F.array_distinct(F.transform(entities, lambda e: e["type"]))
+        named = lambda k: F.array_distinct(F.transform(F.filter(entities, lambda e: e["type"] == k), lambda e: F.coalesce(e["normalized"], e["text"])))
+        return F.map_from_entries(F.transform(types, lambda k: F.struct(k, named(k))))
+
+    return let(entities, of)

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from .lexicons import SPELLINGS
-from .textkit import WORD_CHAR, let, spans, strip, whole
+from .textkit import WORD_CHAR, strip, whole
 
 _B, _E = f"(?<!{WORD_CHAR})", f"(?!{WORD_CHAR})"
 _LETTER = "[A-Za-z]"
@@ -52,25 +54,82 @@ def normalize_spelling(text: Column, spellings: dict[str, str] = SPELLINGS) -> C
     return t
 
 
-def personal_data(text: Column) -> Column:
-    """array<struct<start,ord,end,kind,text>> of all matches of all patterns, by start, then by pattern."""
-
-    def matches(number: int, kind: str, pattern: str) -> Column:
-        return F.transform(
-            spans(text, pattern),
-            lambda s: F.struct(s["start"].alias("start"), F.lit(number).alias("ord"), s["end"].alias("end"), F.lit(kind).alias("kind"), s["text"].alias("text")),
-        )
-
-    return F.array_sort(F.concat(*[matches(i, kind, pattern) for i, (kind, pattern) in enumerate(KINDS)]))
+_FOUND = "array<struct<start:int,ord:int,end:int,kind:string,text:string>>"
+_MATCH = pa.list_(pa.struct([("start", pa.int32()), ("ord", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("text", pa.string())]))
+_PRIVATE = pa.struct([("masked", pa.string()), ("pii", _MATCH)])
+_COMPILED = [re.compile(p.replace(WORD_CHAR, r"\w")) for _, p in KINDS]
+
+
+def matches(text: str) -> list[tuple[int, int, int, str, str]]:
+    """(start, number of the pattern, end, kind, text) of all matches of all patterns, by start, then by pattern."""
+    found = []
+    for i, ((kind, _), pattern) in enumerate(zip(KINDS, _COMPILED)):
+        if kind == "EMAIL":  # only runs with the sign are looked at, with the letter that follows them
+            runs = [m for at in _mail_runs(text) for m in pattern.finditer(text, at[0], min(len(text), at[1] + 1))]
+        else:
+            runs = pattern.finditer(text)
+        found += [(m.start(), i, m.end(), kind, m[0]) for m in runs]
+    return sorted(found)
+
+
+def _mail_runs(text: str) -> list[tuple[int, int]]:
+    found, at = [], 0
+    while (sign := text.find("@", at)) >= 0:
+        first = sign
+        while first > at and text[first - 1] in _MAIL:
+            first -= 1
+        last = sign + 1
+        while last < len(text) and text[last] in _MAIL:
+            last += 1
+        found.append((first, last))
+        at = last
+    return found
+
+
+_MAIL = frozenset("%+.0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz@|-")
+
+
+def masked(text: str, found: list[tuple], mask_string: str = "[REDACTED]") -> str:
+    """The text with the spans replaced from the last to the first, each at its original offsets.
+
+    What is behind the last replaced start is a stack of pieces; an overlapping span cuts into it as the
+    offsets say, so the work grows with the text and not with the text times the spans.
+    """
+    tail: list[str] = []  # pieces after ``at``, the first one last
+    at = len(text)
+    for start, _, end, *_ in reversed(found):
+        if end <= at:
+            tail.append(text[end:at])
+        else:
+            over = end - at
+            while over and tail:
+                piece = tail.pop()
+                if len(piece) > over:
+                    tail.append(piece[over:])
+                over = max(0, over - len(piece))
+        tail.append(mask_string)
+        at = start
+    return text[:at] + "".join(reversed(tail))
+
+
+def _private(text: Column, mask_string: str = "[REDACTED]") -> Column:
+    """struct<masked, pii> of a text, in one pass for each pattern."""
+
+    @F.arrow_udf(f"struct<masked:string,pii:{_FOUND}>")
+    def run(texts: pa.Array) -> pa.Array:
+        out = []
+        for t in texts.to_pylist():
+            found = matches(t or "")
+            rows = [dict(zip(("start", "ord", "end", "kind", "text"), m)) for m in found]
+            out.append(None if t is None else {"masked": masked(t, found, mask_string), "pii": rows})
+        return pa.array(out, _PRIVATE)
+
+    return run(text)
 
 
-def mask(text: Column, found: Column, mask_string: str = "[REDACTED]") -> Column:
-    """The text with the spans replaced from the last to the first, each at its original offsets."""
-    later_first = F.reverse(found)
-    return F.aggregate(
-        later_first, text,
-        lambda t, s: F.concat(F.substring(t, F.lit(1), s["start"]), F.lit(mask_string), F.substring(t, s["end"] + 1, F.length(t))),
-    )
+def personal_data(text: Column) -> Column:
+    """array<struct<start,ord,end,kind,text>> of all matches of all patterns, by start, then by pattern."""
+    return _private(text)["pii"]
 
 
 ENDS = {"sinhala": ".!?។", "tamil": ".!?।"}
@@ -90,15 +149,10 @@ def sentences(text: Column, language: Column | str = "english") -> Column:
 def preprocess(text: Column, language: Column | str = "english", normalize: bool = True, remove: bool = True, mask_string: str = "[REDACTED]") -> Column:
     """struct<cleaned, pii, pii_removed, sentences>."""
     t = normalize_spelling(clean(text)) if normalize else clean(text)
-
-    def of(t: Column, found: Column) -> Column:
-        removed = (F.size(found) > 0) if remove else F.lit(False)
-        return let(
-            mask(t, found, mask_string) if remove else t,
-            lambda masked: F.struct(masked.alias("cleaned"), found.alias("pii"), removed.alias("pii_removed"), sentences(masked, language).alias("sentences")),
-        )
-
-    return let(t, lambda t: let(personal_data(t), lambda found: of(t, found)))
+    private = _private(t, mask_string)
+    cleaned, found = private["masked"] if remove else t, private["pii"]
+    removed = (F.size(found) > 0) if remove else F.lit(False)
+    return F.struct(cleaned.alias("cleaned"), found.alias("pii"), removed.alias("pii_removed"), sentences(cleaned, language).alias("sentences"))
 
 
 TEMPERATURE = r"\d\d\d?(?:[.]\d)?°?[CF°]?"

@@ -44,15 +44,22 @@ def code_switches(text: Column, tokens: Column, markers: Markers = Markers()) ->
     )
     tagged = F.filter(F.transform(tokens, lambda w: F.struct(w.alias("word"), tag(w).alias("lang"))), lambda t: t["lang"].isNotNull())
     empty = F.expr("cast(array() as array<struct<start_pos:int,end_pos:int,from_lang:string,to_lang:string,text_segment:string>>)")
-    begin = F.struct(F.lit(None).cast("string").alias("last"), empty.alias("found"))
 
-    def step(acc: Column, t: Column) -> Column:
-        at = F.position(t["word"], F.lower(text)) - 1
-        switch = F.struct(at.alias("start_pos"), (at + F.length(t["word"])).alias("end_pos"), acc["last"].alias("from_lang"), t["lang"].alias("to_lang"), t["word"].alias("text_segment"))
-        found = F.when(acc["last"].isNotNull() & (acc["last"] != t["lang"]), F.concat(acc["found"], F.array(switch))).otherwise(acc["found"])
-        return F.struct(t["lang"].alias("last"), found.alias("found"))
-
-    return F.when(F.size(tokens) >= 2, F.aggregate(tagged, begin, step, lambda acc: acc["found"])).otherwise(empty)
+    def moved(tagged: Column) -> Column:
+        """Tagged tokens whose language isn't that of the one before, with that language."""
+        before = lambda i: F.get(tagged, i - 1)["lang"]
+        pairs = F.transform(tagged, lambda t, i: F.struct(t["word"].alias("word"), t["lang"].alias("lang"), before(i).alias("last")))
+        return F.filter(pairs, lambda t: t["last"].isNotNull() & (t["last"] != t["lang"]))
+
+    def placed(found: Column, lower: Column) -> Column:
+        """Each known word is looked for once: there are as many as the markers."""
+        known = F.array_distinct(F.transform(found, lambda t: t["word"]))
+        places = F.map_from_entries(F.transform(known, lambda w: F.struct(w, (F.position(w, lower) - 1).alias("at"))))
+        at = lambda places, t: F.element_at(places, t["word"])
+        switch = lambda places, t: F.struct(at(places, t).alias("start_pos"), (at(places, t) + F.length(t["word"])).alias("end_pos"), t["last"].alias("from_lang"), t["lang"].alias("to_lang"), t["word"].alias("text_segment"))
+        return let(places, lambda places: F.transform(found, lambda t: switch(places, t)))
+
+    return F.when(F.size(tokens) >= 2, let(F.lower(text), lambda lower: let(let(tagged, moved), lambda found: placed(found, lower)))).otherwise(empty)
 
 
 def classify(text: Column, markers: Markers = Markers()) -> Column:

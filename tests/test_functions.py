@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import random
 import re
+import time
 import unicodedata
 
 import pytest
@@ -132,6 +134,70 @@ def test_fixture_queries_run_over_tables(spark, tmp_path):
     assert 3 in ids("intent_scores") and -5 in ids("intent_scores") and 2 in ids("domain_tags") and 2 in ids("preprocess_sentences")
 
 
+DENSE = {
+    "classify": ("mage clinic eka naan hospital ponga dengue koheda enga irukku ", romanized.classify),
+    "entities": ("National Hospital dengue fever rash 8:00 am monday 0771234567 clinic ", entities.extract),
+    "personal": ("0771234567 a.b@x.lk 123456789v 200012345678 +94771234567 ", preprocess.personal_data),
+    "preprocess": ("Go to hosiptal. Call 0771234567! Mail a.b@x.lk? ", preprocess.preprocess),
+    "faq": ("<b>Q: What is it now?</b> <p>A: It is a thing here</p> <h2> <b> <p> Q: 1. ", questions.from_faq),
+    "unclosed": ("<b>Q: What is <h2> Q: 1. 2) <p> A: ", questions.from_faq),
+    "domains": ("dengue fever booster dose blood test vaccine x-ray ", domains.tag),
+    "questions": ("Dengue is spread by mosquitoes in town. National Hospital opens daily at eight. ", lambda t: questions.from_content(t, entities.extract(t))),
+}
+
+
+@pytest.mark.parametrize("name", DENSE)
+def test_time_grows_with_the_text(spark, name):
+    piece, function = DENSE[name]
+
+    def seconds(size):
+        rows = spark.createDataFrame([(piece * (size // len(piece)),)], "text string").cache()
+        rows.count()
+        best = 9e9
+        for _ in range(2):
+            start = time.monotonic()
+            rows.select(function(F.col("text")).alias("r")).write.format("noop").mode("overwrite").save()
+            best = min(best, time.monotonic() - start)
+        return best
+
+    seconds(1000)
+    taken = [seconds(n) for n in (25_000, 50_000, 100_000, 200_000)]
+    print(name, [round(t, 2) for t in taken])
+    assert all(b <= 2.5 * a + 0.3 for a, b in zip(taken, taken[1:]))
+
+
+def test_masking_equals_its_statement():
+    rng = random.Random(3)
+    for _ in range(500):
+        text = "".join(rng.choice("ab1 .@x") for _ in range(rng.randint(0, 60)))
+        found = sorted((a, 0, min(len(text), a + rng.randint(1, 25)), "K", "") for a in (rng.randrange(len(text) + 1) for _ in range(rng.randint(0, 8))) if a < len(text))
+        plain = text
+        for start, _, end, *_ in reversed(found):
+            plain = plain[:start] + "[REDACTED]" + plain[end:]
+        assert preprocess.masked(text, found) == plain
+
+
+FAQ = (
+    r"<(?:b|strong|h\d)[^>]*>\s*(?:Q[.:]\s*)?(.+?)\s*</(?:b|strong|h\d)>\s*<(?:div|p)[^>]*>\s*(?:A[.:]\s*)?(.+?)\s*</(?:div|p)>",
+    r"(?:Question[.:]\s*|Q[.:]\s*)(.+?)[\r\n]+(?:Answer[.:]\s*|A[.:]\s*)(.+?)(?=\Z|\n\n)",
+    r"(?:\d+[).]\s*)(.+[?])\s*[\r\n]+(.+?)(?=\Z|\n\n|\d+[).])",
+)
+
+
+def test_faq_forms_equal_their_patterns():
+    rng = random.Random(5)
+    parts = ["<b>", "</b>", "<p>", "</p>", "<div class=x>", "</div>", "<h2>", "</h2>", "Q: ", "A. ", "Question: ", "Answer: ", "\n", "\n\n", "1. ", "2) ", "?", " ", "\r\n", "what is all this here", "this is the whole answer", "<"]
+    clean = lambda x: re.sub(r"\s+", " ", re.sub(r"<[^>]+>", "", x)).strip()
+    some = 0
+    for _ in range(20_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 18)))
+        pairs = [(clean(q), clean(a)) for p in FAQ for q, a in re.findall(p, text, re.I | re.S)]
+        expected = [(q, a) for q, a in pairs if len(q) > 10 and len(a) > 10]
+        assert [(p["question"], p["answer"]) for p in questions.faq_of(text)] == expected, text
+        some += bool(expected)
+    assert some > 100
+
+
 def test_hashes(on):
     a, b, c, d = on(["Hello,  World!", "hello world", "a - b", "a b"], hashing.content_hash)
     assert a == b and a.startswith("b94d27b9934d") and c != d
