@@ -57,7 +57,8 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, width: int = 1 <<
 
     The proportional share and the fill leave a rest below the longest length that remains (or a corpus
     too small for the budget); the dynamic programme runs over that rest plus one longest length, at most
-    ``width`` words wide. A rest beyond the width is filled by the longest lengths before.
+    ``width`` words wide. A rest beyond the width is filled by the longest lengths before; where all that
+    is left is longer than the rest, the nearest sum is none or one of the shortest.
     """
     lengths, counts = np.asarray(lengths, np.int64), np.asarray(counts, np.int64)
     take = np.zeros(len(lengths), np.int64)
@@ -79,7 +80,10 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, width: int = 1 <<
         rest -= more * int(lengths[i])
     while rest > width:  # what is left of every length is longer than the rest less the margin
         fits = [i for i in order.tolist() if take[i] < counts[i] and lengths[i] <= rest]
-        if not fits:
+        if not fits:  # every sum is 0 or at least the shortest that is left, which may be nearer
+            left = [i for i in order.tolist() if take[i] < counts[i]]
+            if left and int(lengths[left[-1]]) - rest < rest:
+                take[left[-1]] += 1
             return take
         take[fits[0]] += 1
         rest -= int(lengths[fits[0]])
@@ -92,8 +96,9 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, width: int = 1 <<
 def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """Bounded subset sum by dynamic programming: numbers of each length whose sum is nearest ``budget``.
 
-    ``first[s]`` is the item with which sum s was first reached, so the choice is read back from it; for
-    each item ``used[s]`` bounds how many of it a sum holds. A sum above the budget wins only when nearer.
+    ``first[s]`` is the item with which sum s was first reached, so the choice is read back from it; each
+    item is added to the sums of the items before it, as often as it is there. A sum above the budget wins
+    only when nearer.
     """
     take = np.zeros(len(lengths), np.int64)
     items = [i for i in np.argsort(-lengths).tolist() if lengths[i] > 0 and counts[i] > 0]
@@ -182,7 +187,7 @@ def mix(
     sure = joined.where((F.col("want") == 0) | (F.col("want") == F.col("docs"))).select(*columns)
     sure = sure.withColumn("more", (F.col("want") > 0).cast("int"))
     edge = joined.where((F.col("want") > 0) & (F.col("want") < F.col("docs"))).select(*columns)
-    rank = F.row_number().over(Window.partitionBy("source", "size", "slice").orderBy("draw", "doc_id"))
+    rank = F.row_number().over(Window.partitionBy("source", "size", "slice").orderBy("draw", "doc_id", "content"))
     edge = edge.withColumn("more", (rank <= F.col("want")).cast("int"))
     out = sure.unionByName(edge)
     out = out.join(plan_key, out["source"].eqNullSafe(plan_key["plan_source"]))
@@ -194,10 +199,22 @@ def mix(
 def take(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str = "text", seed: int = 42, most: int = 3) -> DataFrame:
     """The mix itself: the documents, all their columns, each as often as it is taken.
 
-    Rows that share id and text are all taken as often as the one of them that is taken most.
+    Rows that share id, source and text are taken as often in all as the mix says: evenly, and what is over
+    by the order of their other columns.
     """
-    mixed = mix(docs, id, source, text, seed, most).where("times > 0")
-    times = mixed.groupBy(F.col("doc_id").alias("_id"), F.col("content").alias("_content")).agg(F.max("times").alias("_times"))
-    on = docs[id].eqNullSafe(times["_id"]) & (F.xxhash64(docs[text]) == times["_content"])
-    copies = docs.join(times, on).withColumn(fresh("copy", docs.columns), F.explode(F.sequence(F.lit(1), times["_times"])))
-    return copies.select(*(docs[c] for c in docs.columns))
+    mixed = mix(docs, id, source, text, seed, most)
+    by = [F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("content").alias("_content")]
+    groups = mixed.groupBy(*by).agg(F.sum("times").alias("_times"), F.count(F.lit(1)).alias("_rows")).where("_times > 0")
+    content = F.xxhash64(docs[text])
+    on = docs[id].eqNullSafe(groups["_id"]) & docs[source].eqNullSafe(groups["_source"]) & (content == groups["_content"])
+    joined = docs.join(groups, on)
+    each = F.floor(F.col("_times") / F.col("_rows")).cast("int")
+    over = (F.col("_times") % F.col("_rows")).cast("int")
+    number = fresh("number", docs.columns)
+    even = joined.where(over == 0).withColumn(number, each)
+    order = [docs[f.name] for f in docs.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    rank = F.row_number().over(Window.partitionBy("_id", "_source", "_content").orderBy(*order))
+    odd = joined.where(over > 0).withColumn(number, each + F.when(rank <= over, 1).otherwise(0))
+    rows = even.union(odd).select(*(docs.columns), number)
+    copies = rows.where(F.col(number) > 0).withColumn(number, F.explode(F.sequence(F.lit(1), F.col(number))))
+    return copies.drop(number)

@@ -206,6 +206,23 @@ def test_knapsack_is_optimal(counts, budget):
     assert (near <= numbers).all() and abs(int((near * lengths).sum()) - min(budget, int((lengths * numbers).sum()))) <= max(counts)
 
 
+def test_long_documents_beyond_the_width():
+    lengths, counts = np.array([100_000]), np.array([10])
+    assert mixing.fit(lengths, counts, 290_000).tolist() == [3] and mixing.fit(lengths, counts, 240_000).tolist() == [2]
+    assert mixing.fit(np.array([70_000, 90_000]), np.array([1, 5]), 80_001).tolist() in ([0, 1], [1, 0])
+
+
+def test_repeated_rows_are_taken_as_often_as_the_mix_says(spark):
+    text = lambda n: " ".join(["w"] * n)
+    rows = [(1, text(7), "a", "x"), (1, text(7), "a", "y"), (1, text(7), "a", "z"), (1, text(5), "a", "x"), (2, text(40), "b", "x"), (3, text(9), None, "x"), (3, text(9), None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, other string")
+    words = sum(r.taken for r in mixing.mix(docs).collect())
+    for _ in range(2):
+        taken = mixing.take(docs).collect()
+        assert sum(len(r.text.split()) for r in taken) == words and set(map(tuple, taken)) <= set(rows)
+    assert sorted(map(str, taken)) == sorted(map(str, mixing.take(docs.repartition(5)).collect()))
+
+
 def test_targets():
     assert mixing.capped_targets([("a", 10), ("b", 10), ("c", 10)]) == [5.0, 10.0, 15.0]
     assert mixing.capped_targets([("a", 100), ("b", 1), ("c", 1)]) == [96.0, 3.0, 3.0]
@@ -221,7 +238,14 @@ def test_mixing(spark, rows):
         assert found[i].size == size[i] and found[i].taken <= 3 * size[i] and (size[i] == 0 or found[i].taken % size[i] == 0)
     for ids in by.values():
         assert {found[i].source_size for i in ids} == {sum(size[i] for i in ids)}
-        assert abs(sum(found[i].taken for i in ids) - found[ids[0]].target) <= 1 or len(ids) < 30
+        # the nearest sum that whole copies and a choice of documents can have
+        target, whole = found[ids[0]].target, sum(size[i] for i in ids)
+        copies = min(3, int(target // whole)) if whole else 0
+        sums = {0}
+        for i in ids if copies < 3 else ():
+            sums |= {x + size[i] for x in sums}
+        nearest = min((abs(copies * whole + x - target) for x in sums), default=0)
+        assert abs(sum(found[i].taken for i in ids) - target) <= nearest + 1
     assert {r.doc_id: r.taken for r in queries.op8_mixing(spark, SF).collect()} == {i: r.taken for i, r in found.items()}
 
 
