@@ -22,8 +22,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import checkpoint, fresh, map_arrow, utf8
+from .common import checkpoint, fresh, map_arrow, shuffle_partitions, utf8
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _BLOCK = 1 << 15
@@ -74,20 +75,18 @@ def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
     Each edge is verified. At an even radius those meeting at a value are linked to the least of them;
     at an odd radius, where a meeting doesn't imply a link, all of a value's (at most 65) are compared.
     """
-    met = distinct.select("fp", F.explode(ball(F.col("fp"), (radius + 1) // 2)).alias("value"))
-    # The join below asks for values that aren't null; said here, it leaves all three uses of the shuffle alike.
-    met = met.where(F.col("value").isNotNull()).repartition("value")
-    buckets = met.groupBy("value").agg(F.min("fp").alias("a"), F.max("fp").alias("b"), F.count(F.lit(1)).alias("n"))
-    pairs = buckets.where("n = 2").select("a", "b")
-    # three to 65 distinct members, by the geometry of the ball; the same shuffle is read again for them
-    crowds = met.join(buckets.where("n > 2").select("value", "a"), "value")
+    spread = distinct.select("fp").repartition(shuffle_partitions(distinct.sparkSession))
+    met = spread.select("fp", F.explode(ball(F.col("fp"), (radius + 1) // 2)).alias("value"))
     if radius % 2:
-        members = crowds.groupBy("value").agg(F.collect_list("fp").alias("fps"))
-        more = members.select(F.explode("fps").alias("a"), "fps").select("a", F.explode("fps").alias("b"))
+        # at most 65 members, by the geometry of the ball
+        members = met.groupBy("value").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
+        edges = members.select(F.explode("fps").alias("a"), "fps").select("a", F.explode("fps").alias("b"))
     else:
-        more = crowds.select("a", F.col("fp").alias("b"))
+        # one shuffle: the values are sorted, and the first fingerprint of each is the others' star
+        first = F.first("fp").over(Window.partitionBy("value").orderBy("fp").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        edges = met.select(first.alias("a"), F.col("fp").alias("b"))
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
-    return pairs.union(more).where((F.col("a") < F.col("b")) & close).distinct()
+    return edges.where((F.col("a") < F.col("b")) & close).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
