@@ -34,11 +34,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, shuffle_partitions
+from .common import fresh, pack, shuffle_partitions, unpack
 
 LENGTH, GRAM = 100, 32
 HOT = 1 << 14
 SHARD_BYTES = 4 << 20
+#: Anchors are counted by fewer and larger targets than there are shards, so that what a shard sends to one stays long.
+TARGET_BYTES = 8 * SHARD_BYTES
 _CHUNK = 1 << 17
 _BLOCK = 1 << 19
 _MASK = np.uint64((1 << 20) - 1)
@@ -305,8 +307,8 @@ def _survey(targets: int):
         shard = table.column("shard")[0].as_py()
         _, texts, _ = _rows(table)
         hashes, counts = np.unique(anchors(texts)["hash"], return_counts=True)
-        low, counts = (hashes & _LOW).astype(np.uint32), np.minimum(counts, 255).astype(np.uint8)
-        rows = [(t, shard, low[m].tobytes(), counts[m].tobytes()) for t, m in _groups(_target(hashes, targets))]
+        low, counts = (hashes & _LOW).astype(np.uint32), counts.astype(np.uint32)
+        rows = [(t, shard, low[m].tobytes(), pack(counts[m])) for t, m in _groups(_target(hashes, targets))]
         return _table(rows, schema)
 
     return run, "target long, shard long, hashes binary, counts binary"
@@ -319,7 +321,7 @@ def _shared(hot: int):
         target = table.column("target")[0].as_py()
         shards = np.array(table.column("shard").to_pylist(), np.int64)
         parts = [np.frombuffer(x, np.uint32) for x in table.column("hashes").to_pylist()]
-        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8).astype(np.int64)
+        counts = np.concatenate([unpack(x, np.uint32) for x in table.column("counts").to_pylist()]).astype(np.int64)
         hashes, owner = np.concatenate(parts), np.repeat(shards, [len(p) for p in parts])
         _, inverse = np.unique(hashes, return_inverse=True)
         total = np.bincount(inverse, weights=counts)[inverse]
@@ -340,7 +342,7 @@ _FRAGMENTS_SQL = "target long, shard long, ids binary, rows binary, starts binar
 _FIRST = np.iinfo(np.int64).min
 
 
-def _cut(targets: int):
+def _cut(counters: int, targets: int):
     schema = _FRAGMENTS.set(7, pa.field("texts", pa.binary()))
 
     def run(docs: pa.Table, shared: pa.Table) -> pa.Table:
@@ -356,14 +358,15 @@ def _cut(targets: int):
         order = np.argsort(known)
         known, hot = known[order], hot[order]
         found = anchors(texts)
-        key = _target(found["hash"], targets).astype(np.uint64) << np.uint64(32) | (found["hash"] & _LOW)
+        key = _target(found["hash"], counters).astype(np.uint64) << np.uint64(32) | (found["hash"] & _LOW)
         place = np.minimum(np.searchsorted(known, key), len(known) - 1)
         mine = np.flatnonzero(known[place] == key)
         fragments: list[tuple[int, int, int, int, bytes]] = []  # target, row, start, hash, text
-        for row, start, count, k, is_hot in zip(*(x[mine].tolist() for x in (found["text"], found["start"], found["count"])), key[mine].tolist(), hot[place[mine]].tolist()):
+        to = _target(found["hash"], targets)
+        for row, start, count, target, k, is_hot in zip(*(x[mine].tolist() for x in (found["text"], found["start"], found["count"], to, key)), hot[place[mine]].tolist()):
             text = texts[row]
             if not is_hot:
-                fragments.append((k >> 32, row, start, k & 0xFFFFFFFF, text[start : start + count + LENGTH - 1]))
+                fragments.append((target, row, start, k & 0xFFFFFFFF, text[start : start + count + LENGTH - 1]))
                 continue
             for s in range(start, start + count):
                 window = text[s : s + LENGTH]
@@ -515,9 +518,10 @@ def _passes(rows: DataFrame, hot: int, finish) -> DataFrame:
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(shuffle_partitions(rows.sparkSession), -(-int(total) // SHARD_BYTES))
     sharded = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("long"))
-    survey = sharded.groupBy("shard").applyInArrow(*_survey(shards))
+    counters = max(shuffle_partitions(rows.sparkSession), -(-int(total) // TARGET_BYTES))
+    survey = sharded.groupBy("shard").applyInArrow(*_survey(counters))
     shared = survey.groupBy("target").applyInArrow(*_shared(hot))
-    cut = sharded.groupBy("shard").cogroup(shared.groupBy("shard")).applyInArrow(*_cut(shards))
+    cut = sharded.groupBy("shard").cogroup(shared.groupBy("shard")).applyInArrow(*_cut(counters, shards))
     removed = cut.groupBy("target").applyInArrow(*_resolve())
     return sharded.groupBy("shard").cogroup(removed.groupBy("shard")).applyInArrow(*finish)
 
