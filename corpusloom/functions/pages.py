@@ -52,6 +52,11 @@ def images(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(r"""(?is)<img\s[^>]*?src\s*=\s*["']([^"']*)["']"""), F.lit(1))
 
 
+def videos(html: Column) -> Column:
+    """Sources of all video elements, their own or those of the sources inside."""
+    return F.regexp_extract_all(html, F.lit(r"""(?is)<(?:video|source)\s[^>]*?src\s*=\s*["']([^"']*)["']"""), F.lit(1))
+
+
 def _absolute(x: Column) -> Column:
     return x.rlike("(?i)^https?://")
 
@@ -67,14 +72,21 @@ def context_object(url: Column, html: Column, source: dict[str, str] | None = No
         F.substring(html, 1, MOST_CHARS).alias("html"),
         F.substring(F.regexp_replace(html, "(?is)<(?:script|style)[^>]*>.*?</(?:script|style)>", ""), 1, MOST_CHARS).alias("cleaned_html"),
         F.substring(F.array_join(paragraphs(html), "\n\n"), 1, MOST_CHARS).alias("markdown"),
-        F.struct(F.slice(images(html), 1, 10).alias("images"), F.expr("cast(array() as array<string>)").alias("videos")).alias("media"),
+        F.struct(F.slice(images(html), 1, 10).alias("images"), F.slice(videos(html), 1, 5).alias("videos")).alias("media"),
         F.struct(F.slice(inside, 1, 20).alias("internal"), F.slice(outside, 1, 10).alias("external")).alias("links"),
     )
     provenance = F.struct(
         F.lit(config.get("source_id")).cast("string").alias("source_id"), or_default(F.lit(config.get("agency")).cast("string"), "Unknown").alias("source_agency"),
         url.alias("source_url"), F.lit("HTML").alias("original_format"), F.lit(float(config.get("reliability", 0.9))).alias("reliability_score"), here.alias("domain"),
     )
-    return F.struct(content.alias("content"), provenance.alias("provenance"))
+    named = lambda n: F.regexp_extract(html, rf"""(?is)<meta\s[^>]*?name\s*=\s*["']{n}["'][^>]*?content\s*=\s*["']([^"']*)["']""", 1)
+    metadata = F.struct(
+        F.trim(F.regexp_extract(html, "(?is)<title[^>]*>(.*?)</title>", 1)).alias("title"), named("description").alias("description"), named("keywords").alias("keywords"),
+        or_default(F.regexp_extract(html, r"""(?is)<html\s[^>]*?lang\s*=\s*["']([^"']*)["']""", 1), "si").alias("language"), F.lit(config.get("source_id")).cast("string").alias("source_id"),
+    )
+    no = F.lit(False)  # a page is new, and HTML needs no OCR; later stages set the rest through the table's patches
+    status = F.struct(no.alias("ocr_required"), no.alias("language_detected"), no.alias("entities_extracted"), no.alias("translated"))
+    return F.struct(content.alias("content"), provenance.alias("provenance"), metadata.alias("metadata"), status.alias("processing_status"))
 
 
 def asset_type(url: Column, content_type: Column | None = None) -> Column:

@@ -43,6 +43,12 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
     return both.select("id_a", "id_b", similarity.alias("similarity")).where(F.col("similarity") >= threshold)
 
 
+def ranked(pairs: DataFrame) -> DataFrame:
+    """id, other, similarity and rank of each pair from both sides: a row's near duplicates, the most similar first."""
+    both = pairs.select(F.col("id_a").alias("id"), F.col("id_b").alias("other"), "similarity").union(pairs.select("id_b", "id_a", "similarity"))
+    return both.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("similarity"), "other")))
+
+
 def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", least_tokens: int = 5) -> DataFrame:
     """id, tokens (sorted) and class_id, the least id with the same token set; sets below the least size are left out."""
     rows = docs.select(F.col(id).alias("id"), F.array_sort(token_set(F.col(text))).alias("tokens")).where(F.size("tokens") >= least_tokens)

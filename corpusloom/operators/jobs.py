@@ -49,6 +49,11 @@ def summary(outcomes: DataFrame) -> DataFrame:
     return outcomes.agg(F.count(F.lit(1)).alias("processed"), F.count_if("success").alias("successful"), F.count_if(~F.col("success")).alias("failed"))
 
 
+def ocr_counts(read: DataFrame) -> DataFrame:
+    """One row for an OCR batch: processed, successful, failed; a row with an error failed."""
+    return summary(read.select(F.col("error").isNull().alias("success")))
+
+
 def crawl_cycle(queue: DataFrame, fetched: DataFrame, now: Column, limit: int = 10, domain: str | None = None) -> CrawlCycle:
     """Claims the next URLs and applies what was fetched for them (url, html; null html is a failed fetch)."""
     chosen = queueing.next_urls(queue, now, limit, domain)

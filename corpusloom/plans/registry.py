@@ -14,8 +14,9 @@ from pyspark.sql.window import Window
 
 from corpusloom.functions import domains, entities, hashing, intents, language, pages, preprocess, questions, romanized, scoring, translate
 from corpusloom.functions.textkit import ascii_tokens
-from corpusloom.operators import annotate, api, audit, dedup, queueing, store
+from corpusloom.operators import annotate, api, audit, dedup, jobs, queueing, store
 from corpusloom.sources import objects
+from corpusloom.sources import registry as registry_source
 
 from . import oracles
 
@@ -41,7 +42,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    """The documents; a table of fewer files than cores (one row group is one task) is dealt out to all of them."""
+    d, cores = table(spark, sf_dir, "documents"), spark.sparkContext.defaultParallelism
+    return d.repartition(cores) if len(d.inputFiles()) < cores else d
 
 
 def with_sentences(rows: DataFrame, *columns) -> DataFrame:
@@ -521,6 +524,165 @@ def annotated_documents(spark, sf_dir):
     return rows.select("id", "detected_language", r6(F.col("language_confidence")).alias("language_confidence"), "is_romanized", "romanized_type", "intent", "domain", F.size("entities").alias("n_entities"), "content_hash")
 
 
+# -- requests, lookups and rankings --
+@query
+def entity_summary(spark, sf_dir):
+    rows = with_sentences(docs(spark, sf_dir), F.col("doc_id").alias("id"), "text").select("id", F.explode(entities.summary(entities.extract(F.lower("text")))).alias("type", "names"))
+    return rows.select("id", "type", F.array_join(F.array_sort("names"), "|").alias("names"))
+
+
+@query
+def dengue_keywords(spark, sf_dir):
+    s = with_sentences(docs(spark, sf_dir), F.col("doc_id").alias("id"), "text")
+    return s.select("id", F.array_join(domains.keywords_of(F.col("text"), "dengue"), "|").alias("keywords")).where("keywords <> ''")
+
+
+@query
+def domain_labels(spark, sf_dir):
+    s = with_sentences(docs(spark, sf_dir), F.col("doc_id").alias("id"), "text").select(domains.tag(F.col("text"))["primary_domain"].alias("domain"))
+    return s.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).select("domain", domains.description(F.col("domain")).alias("description"), "n")
+
+
+@query
+def intent_examples(spark, sf_dir):
+    return intents.examples(spark).groupBy("intent").agg(F.count(F.lit(1)).alias("n"))
+
+
+def sources(spark, sf_dir):
+    """A source registry made of pages: every fifth has no agency, and ids of hosts come again."""
+    p = page_rows(spark, sf_dir)
+    none = F.lit(None).cast("string")
+    return registry_source.tidy(p.select(
+        F.col("page_id").alias("ordinal"), F.concat(F.lit(" "), scoring.host(F.col("url")), F.lit(" ")).alias("id"), F.when(F.col("page_id") % 5 > 0, F.concat(F.lit("Agency "), F.col("page_id") % 3)).alias("agency"),
+        F.when(F.col("page_id") % 2 == 0, F.array("url")).alias("seed_urls"), F.when(F.col("page_id") % 3 == 0, F.lit(0.5)).alias("reliability"), F.lit(0.25).alias("user_demand"),
+        none.alias("country"), F.lit(" west ").alias("region"), F.array(F.lit("a"), F.concat(F.lit("t"), F.col("page_id") % 4)).alias("topics"), none.alias("notes"),
+    ))
+
+
+@query
+def source_rows(spark, sf_dir):
+    return sources(spark, sf_dir).select("ordinal", "id", "agency", "reliability", "region", "notes", F.size("seed_urls").alias("n_seeds"))
+
+
+@query
+def source_seeds(spark, sf_dir):
+    s = sources(spark, sf_dir)
+    return registry_source.seed_urls(s).groupBy("id").agg(F.count(F.lit(1)).alias("n_urls")).join(registry_source.topics(s).groupBy(F.col("source_id").alias("id")).agg(F.count_distinct("topic").alias("n_topics")), "id", "full")
+
+
+@query
+def source_lookup(spark, sf_dir):
+    s = sources(spark, sf_dir)
+    wanted = [r[0] for r in s.select("id").distinct().orderBy("id").limit(1).collect()]
+    return registry_source.lookup(s, wanted[0] if wanted else "").select("ordinal", "id", "agency")
+
+
+@query
+def version_history(spark, sf_dir):
+    out = dedup.history(dedup.versions(docs(spark, sf_dir), "source", ["doc_id"]), "source")
+    return out.groupBy("source").agg(F.max("version_number").alias("versions"), F.max_by("content_hash", "version_number").alias("latest_hash"))
+
+
+@query
+def latest_statistics(spark, sf_dir):
+    daily = table(spark, sf_dir, "events").groupBy(F.col("ts").cast("timestamp").cast("date").alias("snapshot_date")).agg(F.count(F.lit(1)).alias("total_documents"))
+    return api.latest_statistics(api.Catalog(None, None, statistics=daily))
+
+
+@query
+def full_status(spark, sf_dir):
+    linked = F.transform(pages.links(F.col("html")), lambda x: F.concat(x, F.lit(".pdf")))
+    assets = page_rows(spark, sf_dir).select(pages.segregate(linked, pages.images(F.col("html"))).alias("a")).select("a.counts.pdf", "a.counts.images", "a.ocr_required")
+    out = api.system_status(api.Catalog(None, None, queue(spark, sf_dir)), assets, now())
+    return out.select("pending", "processing", "completed", "failed", "total", "total_documents", "pdf_assets", "image_assets", "ocr_required", F.unix_seconds("at").alias("at"))
+
+
+@query
+def review_cards(spark, sf_dir):
+    return api.review_cards(qa(spark, sf_dir).withColumn("domain", F.when(F.col("verified"), "").otherwise(F.col("domain"))))
+
+
+@query
+def document_reads(spark, sf_dir):
+    d = docs(spark, sf_dir).select(F.col("doc_id").cast("string").alias("id"), "source", hashing.content_hash(F.col("text")).alias("content_hash"))
+    catalog = api.Catalog(d, None)
+    known = api.document(catalog, "7").select("content_hash").first()
+    return api.document(catalog, "7").union(api.by_hash(catalog, known[0] if known else "")).select("id", "source", "content_hash")
+
+
+def contexts(spark, sf_dir):
+    """Context objects of all pages; every second link of a page ends in .pdf here."""
+    linked = F.transform(pages.links(F.col("html")), lambda x, i: F.concat(x, F.when(i % 2 == 0, ".pdf").otherwise("")))
+    p = page_rows(spark, sf_dir).select(F.col("page_id").cast("string").alias("id"), "url", linked.alias("linked"), pages.context_object(F.col("url"), F.col("html")).alias("c"))
+    return p.select("id", "url", "c.content", "c.provenance", pages.segregate(F.col("linked"), F.col("c.content.media.images")).alias("assets"))
+
+
+@query
+def discovered_links(spark, sf_dir):
+    out = jobs.discovered(contexts(spark, sf_dir), above=-0.5, urgent=0.2)
+    return out.select("url", r6(F.col("score")).alias("score"), "priority")
+
+
+@query
+def ocr_queue_rows(spark, sf_dir):
+    return jobs.ocr_entries(contexts(spark, sf_dir), now()).select("context_id", "storage_path", "asset_type", "priority", "status", "max_attempts")
+
+
+@query
+def crawl_summary(spark, sf_dir):
+    q = queue(spark, sf_dir)
+    return jobs.summary(q.where("status in ('completed', 'failed')").select("id", (F.col("status") == "completed").alias("success")))
+
+
+@query
+def ocr_batch_counts(spark, sf_dir):
+    q = queue(spark, sf_dir).where("status = 'pending'")
+    read = q.select("id", F.when(F.col("attempts") == 3, "no text").alias("error"))
+    return jobs.ocr_counts(read)
+
+
+@query
+def ocr_transition(spark, sf_dir):
+    q = queue(spark, sf_dir).drop("scheduled_time")
+    outcomes = q.where("status = 'processing'").select("id", (F.col("attempts") % 2 == 0).alias("success"), F.lit("blank page").alias("error"), F.lit(None).cast("string").alias("context_id"))
+    return queueing.ocr_transition(q, outcomes, now()).groupBy("status", "last_error").agg(F.count(F.lit(1)).alias("n"), F.sum("attempts").alias("attempts"))
+
+
+@query
+def queue_batch(spark, sf_dir):
+    out = queueing.enqueue_batch(page_rows(spark, sf_dir).select("url"), now(), "high", "Ministry")
+    return out.select("id", "url", "domain", "source_agency", "priority", r6(F.col("priority_score")).alias("priority_score"), "status", "max_attempts")
+
+
+@query
+def page_extract(spark, sf_dir):
+    e = page_rows(spark, sf_dir).select("page_id", pages.extracted(F.col("html")).alias("e"))
+    return e.select("page_id", "e.title", F.sha2("e.content", 256).alias("content_sha256"), "e.date")
+
+
+@query
+def context_fields(spark, sf_dir):
+    c = page_rows(spark, sf_dir).select("page_id", pages.context_object(F.col("url"), F.col("html")).alias("c"))
+    return c.select(
+        "page_id", "c.provenance.source_url", "c.provenance.original_format", "c.provenance.reliability_score", F.size("c.content.media.images").alias("n_images"),
+        F.size("c.content.media.videos").alias("n_videos"), "c.processing_status.ocr_required", "c.processing_status.language_detected", "c.metadata.title", "c.metadata.language",
+    )
+
+
+@query
+def similarity_ranks(spark, sf_dir):
+    out = dedup.ranked(dedup.near_duplicates(docs(spark, sf_dir)))
+    return out.select("id", "other", r6(F.col("similarity")).alias("similarity"), "rank")
+
+
+@query
+def audit_report(spark, sf_dir):
+    counts = audit.distributions(audited(spark, sf_dir))
+    text = audit.markdown(counts, audit.alerts(counts, audit.thresholds(spark)), 12, "2024-01-10")
+    report = text.split("## \u26a0")[0].rstrip().split("\n")
+    return spark.createDataFrame(list(enumerate(report)), "number long, line string")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
