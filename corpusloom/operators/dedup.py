@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -26,7 +28,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
 
     Rows of equal token sets are one class, named by its least id, so copies make no pairs; :func:`classes`
     gives the membership. A set's prefix, its rarest tokens, must share one with any similar set's prefix:
-    prefixes are joined, filtered by size, and only pairs that meet are verified.
+    prefixes are joined by token and step of size, and only pairs that meet are verified.
     """
     sets = classes(docs, id, text, least_tokens)
     reps = sets.groupBy("class_id").agg(F.first("tokens").alias("tokens")).withColumn("n", F.size("tokens"))
@@ -34,9 +36,12 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
     ranked = reps.select("class_id", "n", F.explode("tokens").alias("token")).join(frequency, "token")
     place = F.row_number().over(Window.partitionBy("class_id").orderBy("df", "token"))
     prefix = ranked.withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - F.lit(1e-9)) + 1).select("class_id", "n", "token")
-    a, b = prefix.toDF("id_a", "n_a", "token"), prefix.toDF("id_b", "n_b", "token")
+    # similar sets lie in the same step of size or in neighbouring ones, which divides what meets at a frequent token
+    step = F.floor(F.log("n") / -math.log(min(threshold, 0.99))).cast("int")
+    a = prefix.select(F.col("class_id").alias("id_a"), F.col("n").alias("n_a"), "token", F.explode(F.array(step - 1, step, step + 1)).alias("step"))
+    b = prefix.select(F.col("class_id").alias("id_b"), F.col("n").alias("n_b"), "token", step.alias("step"))
     close = (F.col("id_a") < F.col("id_b")) & (F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b") - 1e-9)
-    met = a.join(b, "token").where(close).select("id_a", "id_b").distinct()
+    met = a.join(b, ["token", "step"]).where(close).select("id_a", "id_b").distinct()
     ta, tb = reps.select(F.col("class_id").alias("id_a"), F.col("tokens").alias("ta")), reps.select(F.col("class_id").alias("id_b"), F.col("tokens").alias("tb"))
     both = met.join(ta, "id_a").join(tb, "id_b").withColumn("common", F.size(F.array_intersect("ta", "tb")))
     similarity = F.col("common") / (F.size("ta") + F.size("tb") - F.col("common"))
