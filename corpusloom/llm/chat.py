@@ -390,27 +390,66 @@ class Template:
         return self._run({**names, "messages": messages}, False)
 
 
-# -- reading back --
-def read_turns(chunks: Iterable[Chunk]) -> Iterator[tuple[str, str, str, int]]:
-    """(role, text, text under the loss mask, characters) of each turn of a formatted output."""
+# -- the output, and reading it back --
+def output(chunks: Iterable[Chunk], size: int = 1 << 16) -> Iterator[tuple[str, list[tuple[int, int]]]]:
+    """The formatted string in pieces of about ``size``, each with the spans of the loss mask in it, counted from the string's start."""
+    at = held = 0
     texts: list[str] = []
-    loss: list[str] = []
+    spans: list[tuple[int, int]] = []
     for text, masked in chunks:
+        if masked and text:
+            if spans and spans[-1][1] == at:
+                spans[-1] = (spans[-1][0], at + len(text))
+            else:
+                spans.append((at, at + len(text)))
+        at += len(text)
+        held += len(text)
         texts.append(text)
-        if masked:
-            loss.append(text)
-        if END in text:  # a guarded text never has it
-            whole = "".join(texts)
-            head, mark, rest = whole.partition(END)
-            if not head.startswith(TURN) or not rest.startswith("\n"):
+        if held >= size:
+            yield "".join(texts), spans
+            texts, spans, held = [], [], 0
+    if texts:
+        yield "".join(texts), spans
+
+
+def read_output(pieces: Iterable[tuple[str, list[tuple[int, int]]]]) -> Iterator[tuple[str, str, str, int]]:
+    """(role, text, text under the loss mask, characters) of each turn, from the formatted string and its spans alone."""
+    held, base, spans = "", 0, []  # what isn't read yet, where it starts in the whole string, its spans
+    for text, marked in pieces:
+        seen = max(0, len(held) - len(END))
+        held += text
+        spans += marked
+        start = 0
+        while (mark := held.find(END, max(start, seen))) >= 0 and mark + len(END) < len(held):  # a guarded text never has it
+            stop = mark + len(END) + 1
+            if not held.startswith(TURN, start) or held[stop - 1] != "\n":
                 raise ValueError("malformed output")
-            role, _, body = head[len(TURN) :].partition("\n")
-            yield unline(role), unguard(body[:-1]), unguard("".join(loss)), len(head) + len(mark) + 1
-            texts, loss = [rest[1:]], []
-    if "".join(texts):
+            role, _, body = held[start + len(TURN) : mark].partition("\n")
+            loss = []
+            while spans and spans[0][0] < base + stop:
+                first, last = spans[0]
+                loss.append(held[first - base : min(last - base, stop)])
+                if last > base + stop:
+                    spans[0] = (base + stop, last)
+                    break
+                spans.pop(0)
+            yield unline(role), unguard(body[:-1]), unguard("".join(loss)), stop - start
+            start = stop
+        held, base = held[start:], base + start
+    if held:
         raise ValueError("output ends within a turn")
 
 
+def read_formatted(formatted: str, loss: Iterable[tuple[int, int]]) -> Iterator[tuple[str, str, str, int]]:
+    """The turns of a row of :func:`format_conversations`."""
+    return read_output([(formatted, [tuple(x) for x in loss])])
+
+
+def read_turns(chunks: Iterable[Chunk]) -> Iterator[tuple[str, str, str, int]]:
+    """The turns of what a template renders, read back from its output."""
+    return read_output(output(chunks))
+
+
 def digest(messages: Iterable[dict[str, str]], template: Template) -> tuple[int, str, int, str, int]:
     """n_turns, turns_sha256, loss_chars, loss_sha256 and formatted_chars, read back from the output."""
     n = loss_chars = chars = 0
@@ -461,15 +500,12 @@ def format_conversations(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = Template(template)
         for conv_id, messages in _conversations(batches):
-            at, texts, spans = 0, [], []
-            for chunk, masked in compiled.render(messages):
-                if masked and chunk:
-                    if spans and spans[-1]["end"] == at:
-                        spans[-1]["end"] = at + len(chunk)
-                    else:
-                        spans.append({"start": at, "end": at + len(chunk)})
-                at += len(chunk)
-                texts.append(chunk)
+            texts, spans = [], []
+            for piece, marked in output(compiled.render(messages)):
+                texts.append(piece)
+                if spans and marked and spans[-1]["end"] == marked[0][0]:
+                    spans[-1]["end"] = marked.pop(0)[1]
+                spans += [{"start": a, "end": b} for a, b in marked]
             yield pa.RecordBatch.from_pylist([{"conv_id": conv_id, "formatted": "".join(texts), "loss": spans}], schema)
 
     from pyspark.sql.pandas.types import to_arrow_schema

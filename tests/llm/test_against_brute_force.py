@@ -182,6 +182,30 @@ def test_turns_are_read_back(turns):
     assert [u for _, _, u, _ in out] == [t if r == "assistant" else "" for r, t in turns]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.sampled_from(["user", "assistant"]), hostile), hostile), max_size=6), st.integers(1, 40))
+def test_output_is_read_back_in_any_pieces(turns, size):
+    render = lambda: chat.Template().render([{"role": r, "text": t} for r, t in turns])
+    expected = [(r, t, t if r == "assistant" else "") for r, t in turns]
+    assert [x[:3] for x in chat.read_output(chat.output(render(), size))] == expected
+    pieces = list(chat.output(render(), size))
+    formatted, spans = "".join(p for p, _ in pieces), [x for _, m in pieces for x in m]
+    assert formatted == "".join(t for t, _ in render())
+    assert [x[:3] for x in chat.read_formatted(formatted, spans)] == expected
+    assert sum(x[3] for x in chat.read_formatted(formatted, spans)) == len(formatted)
+
+
+def test_chat_query_equals_the_written_output(spark):
+    rows = spark.read.parquet(f"{SF}/conversations.parquet")
+    digests = {r.conv_id: r for r in queries.op7_chat(spark, SF).collect()}
+    for r in chat.format_conversations(rows).collect():
+        turns = list(chat.read_formatted(r.formatted, [(x.start, x.end) for x in r.loss]))
+        d = digests[r.conv_id]
+        assert d.turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b, _, _ in turns).encode()).hexdigest()
+        loss = "".join(x for _, _, x, _ in turns)
+        assert (d.n_turns, d.loss_chars, d.loss_sha256, d.formatted_chars) == (len(turns), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(r.formatted))
+
+
 def test_template_language():
     render = lambda s, **n: "".join(t for t, _ in chat.Template(s).render(n.pop("messages", []), **n))
     assert render("{{ 'a' + 'b' }}{# no #}{% if 1 == 2 %}x{% elif true and not false %}y{% else %}z{% endif %}") == "aby"
@@ -286,6 +310,18 @@ def test_damage_is_found():
         media.decode_png(good[:-5])
 
 
+def test_cosine_hash_equals_its_statement():
+    """Of an image of 32 by 32, where nothing is shrunk: the plain cosine sums (not scaled to unit length) term by term, bits above the median but for the first."""
+    image = np.random.default_rng(9).integers(0, 256, (32, 32)).astype(np.uint8)
+    low = np.zeros((8, 8))
+    for u in range(8):
+        for v in range(8):
+            low[u, v] = sum(float(image[y, x]) * np.cos(np.pi * u * (2 * y + 1) / 64) * np.cos(np.pi * v * (2 * x + 1) / 64) for y in range(32) for x in range(32))
+    flat = low.ravel()
+    bits = "".join("1" if x > np.median(flat[1:]) else "0" for x in flat)
+    assert media.cosine_hash(image) == f"{int(bits, 2):016x}"
+
+
 def test_close_images_have_close_hashes():
     image = np.random.default_rng(1).integers(0, 256, (64, 64), dtype=np.uint8)
     other = image.copy()
