@@ -21,16 +21,26 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder that the cluster names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``, or that the session has set.
 
-    ``spark.checkpoint.dir`` is read from the session; only where it is unset (tests on one machine)
-    a folder of its own is taken.
+    Only on one machine (a local master, as in tests) a temporary folder is taken where none is named: executors
+    elsewhere couldn't read it, so on a cluster that is an error.
     """
+    sc = spark.sparkContext
+    known = sc._jsc.sc().getCheckpointDir()
+    if named := spark.conf.get("spark.checkpoint.dir", "") or (known.get() if known.isDefined() else ""):
+        return named.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
+    return os.path.join(tempfile.gettempdir(), "corpusloom-checkpoints")
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", "")
-        sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "corpusloom-checkpoints"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

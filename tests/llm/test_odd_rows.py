@@ -83,3 +83,36 @@ def test_keep_one_keeps_one_of_each(docs):
     texts = [r.text for r in kept]
     assert len(texts) == len(set(texts))
     assert len([r for r in kept if r.doc_id == 5]) == 0 and len([r for r in kept if r.doc_id == 1]) == 1
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    from corpusloom.llm import common
+
+    class Cluster:
+        conf = type("conf", (), {"get": staticmethod(lambda key, default: "")})
+        sparkContext = type("sc", (), {"master": "spark://host:7077", "_jsc": type("j", (), {"sc": staticmethod(lambda: type("s", (), {"getCheckpointDir": staticmethod(lambda: type("o", (), {"isDefined": staticmethod(lambda: False)}))}))})})
+
+    with pytest.raises(RuntimeError):
+        common.shared_folder(Cluster)
+    assert common.shared_folder(spark)
+
+
+def test_values_of_odd_rows(docs, labels):
+    """The defined results that the docstrings state, row by row."""
+    by = lambda rows, key="doc_id": {r[key]: r for r in rows.collect()}
+    cut = by(suffix.deduplicate(docs))
+    assert (cut[2].n_bytes, cut[2].n_removed, cut[2].n_spans) == (0, 0, 0) == (cut[3].n_bytes, cut[3].n_removed, cut[3].n_spans)
+    assert cut[1].n_removed < cut[1].n_bytes and cut[5].n_removed == cut[5].n_bytes and cut[6].n_removed > 0.99 * cut[6].n_bytes and cut[None].n_removed == 0
+    rules = by(host_rules.apply(docs))
+    assert all(rules[i].n_words == 0 and rules[i].base_failed and not rules[i].kept for i in (2, 3, 4)) and rules[6].n_words == 80_000 and rules[6].base_failed
+    tokens = by(bpe.round_trip(docs))
+    assert (tokens[2].n_tokens, tokens[2].ids_sha256) == (0, tokens[3].ids_sha256) and tokens[4].n_tokens > 0
+    prints = by(simhash.near_duplicates(docs), "id")
+    assert {prints[i].fp for i in (2, 3, 4)} == {0} and prints[1].fp == prints[5].fp and prints[5].component_id == 1 and prints[2].component_id == prints[4].component_id == 2
+    mixed = by(mixing.mix(docs))
+    assert all(mixed[i].size == 0 and mixed[i].taken == 0 for i in (2, 3, 4)) and mixed[6].size == 80_000 and all(r.taken <= 3 * r.size for r in mixed.values())
+    stored = by(media.features(media.store(docs)))
+    assert stored[2].payload_bytes == 64 and stored[2].payload_sha256 == stored[3].payload_sha256 and stored[2].n_bytes == 0 and stored[1].feature == stored[5].feature
+    quality, toxic = by(bradley_terry.score(docs, labels)), by(toxicity.score(docs, labels))
+    for found in (quality, toxic):
+        assert all(0 <= r.score <= 1 for r in found.values()) and found[2].score == found[3].score and found[1].score == found[5].score
