@@ -10,15 +10,13 @@ first three stages, the mix takes no document without words, and an empty table
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, mixing, simhash, suffix, toxicity
+from corpusloom.llm import bpe, common, mixing, simhash, suffix, toxicity
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,11 +58,8 @@ ORACLE_SQL: str | None = None
 
 
 def _folder(spark: SparkSession) -> str:
-    """A new folder below the shared one that the cluster names; a local one only where none is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", "")
-    known = spark.sparkContext._jsc.sc().getCheckpointDir()
-    base = shared or (known.get() if known.isDefined() else os.path.join(tempfile.gettempdir(), "corpusloom-checkpoints"))
-    return f"{base.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    """A new folder below the shared one that the cluster names."""
+    return f"{common.shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

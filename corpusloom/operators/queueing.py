@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusloom.functions.scoring import host, priority, retry_minutes
+from corpusloom.operators.store import one_each
 
 STATES = ("pending", "processing", "completed", "failed")
 
@@ -27,7 +28,7 @@ def pending_ocr(queue: DataFrame, limit: int) -> DataFrame:
 
 def claim(queue: DataFrame, claimed: DataFrame, now: Column) -> DataFrame:
     """The queue with the claimed ids in processing, one attempt more."""
-    marked = claimed.select(F.col("id"), F.lit(True).alias("_claimed"))
+    marked = claimed.select("id").distinct().withColumn("_claimed", F.lit(True))
     hit = F.coalesce("_claimed", F.lit(False))
     joined = queue.join(marked, "id", "left")
     updates = {
@@ -42,9 +43,9 @@ def transition(queue: DataFrame, outcomes: DataFrame, now: Column, retry: bool =
     """The queue after outcomes (id, success, error, context_id).
 
     A success completes a row. A failure counts one more attempt; below the maximum it goes back to pending
-    after 2**attempts minutes, else it has failed.
+    after 2**attempts minutes, else it has failed. Of several outcomes of a row one counts.
     """
-    o = outcomes.select("id", F.col("success").alias("_ok"), F.col("error").alias("_error"), F.col("context_id").alias("_context"))
+    o = one_each(outcomes.select("id", "success", "error", "context_id")).select("id", F.col("success").alias("_ok"), F.col("error").alias("_error"), F.col("context_id").alias("_context"))
     joined = queue.join(o, "id", "left")
     ok, bad = F.coalesce("_ok", F.lit(False)), F.coalesce(~F.col("_ok"), F.lit(False))
     tried = F.coalesce("attempts", F.lit(0)) + 1

@@ -162,3 +162,35 @@ def test_entry_without_the_subpackage(tmp_path):
     code = "import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); assert q and set(o) <= set(q) and not any(x.startswith('op') or x == 'pipeline' for x in q)"
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     assert subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "r", env=env).returncode == 0
+
+
+def test_keys_changed_twice_keep_one_row(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "id long, x string")
+    new = spark.createDataFrame([(1, "c"), (1, "d"), (3, "e"), (3, "e")], "id long, x string")
+    for changed in (store.upsert(old, new), store.patch(old, new, ["x"])):
+        rows = changed.collect()
+        assert len({r.id for r in rows}) == len(rows) and {r.x for r in rows if r.id == 1} <= {"c", "d"}
+    assert sorted(store.upsert(old, new).collect()) == sorted(store.upsert(old, new.repartition(3)).collect())
+    now = F.to_timestamp(F.lit("2024-01-10"))
+    queue = spark.createDataFrame([("1", "processing", 0, 3)], "id string, status string, attempts int, max_attempts int")
+    outcomes = spark.createDataFrame([("1", True, None, "c"), ("1", False, "e", None)], "id string, success boolean, error string, context_id string")
+    assert queueing.transition(queue, outcomes, now).count() == 1 and queueing.claim(queue, queue.select("id").union(queue.select("id")), now).count() == 1
+
+
+def test_a_version_counts_once_its_pointer_is_there(spark, tmp_path):
+    kept = store.Store(spark, str(tmp_path / "s"))
+    kept.append("t", spark.range(3))
+    kept._numbers, numbers = (lambda table: []), kept._numbers  # a second writer that saw no version
+    with pytest.raises(RuntimeError):
+        kept.append("t", spark.range(9))
+    kept._numbers = numbers
+    assert kept.read("t").count() == 3
+    spark.range(5).write.parquet(str(tmp_path / "s" / "t" / "v00000001-dead"))  # a writer that died before its pointer
+    assert kept.read("t").count() == 3
+    kept.append("t", spark.range(2))
+    assert kept.read("t").count() == 5
+
+
+def test_near_duplicates_are_ranked(spark):
+    pairs = spark.createDataFrame([(1, 2, 0.9), (1, 3, 0.95), (2, 3, 0.9)], "id_a long, id_b long, similarity double")
+    assert sorted((r.id, r.rank, r.other) for r in dedup.ranked(pairs).collect()) == [(1, 1, 3), (1, 2, 2), (2, 1, 1), (2, 2, 3), (3, 1, 1), (3, 2, 2)]
