@@ -2,8 +2,8 @@
 
 What is compared (:func:`parse`), in runs of words of a document:
 
-* near: lines of at least ``least_line`` words; where blank lines part a text, its blocks of several lines;
-  sentences of at least ``least_run`` words, so that an edited passage inside a paragraph is found too;
+* near: lines of at least ``least_line`` words (by default all); where blank lines part a text, its blocks of
+  several lines; sentences of at least ``least_run`` words, so that an edited passage inside a paragraph is found too;
 * word for word: windows of whole sentences, each with those after it, and with those before it, until they
   have ``least_run`` words, so that of a passage that repeats every sentence is in a window that lies in it.
   Where no sentence or line ends for ``FAR`` words on either side, every fourth place, by a hash of the two
@@ -11,7 +11,9 @@ What is compared (:func:`parse`), in runs of words of a document:
 
 Shingles are five words; near paragraphs link when the Jaccard index of their shingle sets reaches
 ``similarity`` (0.8). Bands and rows follow from it (:func:`tune_bands`): 6 bands of 2 at 0.8, where a pair of
-0.8 collides with probability 0.998 and one of 0.9 with 0.99995.
+0.8 collides with probability 0.998 and one of 0.9 with 0.99995. A paragraph of fewer than five words is one
+shingle as a whole, so it links with its equals alone, and its name is enough. One of so few shingles that only
+an equal set reaches the similarity (three at 0.8) needs one band, since equal sets have all bands in common.
 
 1. A shard of documents names all runs by 96-bit hashes and sends each distinct name once, with its least
    document, and the band keys of near paragraphs with their names and sizes.
@@ -53,8 +55,8 @@ from .simhash import components
 from .suffix import SHARD_BYTES, TARGET_BYTES, _groups, _table, _target
 
 SHINGLE, SIMILARITY, MIN_WORDS = 5, 0.8, 8
-#: The least passage that the registered query takes: shorter lines and sentences repeat by chance or custom.
-PASSAGE = 20
+#: Words of the least passage within a paragraph that is compared; paragraphs are compared whatever their length.
+PASSAGE = MIN_WORDS
 BANDS, ROWS, MINIMA, WANTED = 6, 2, 12, 0.995
 HOT, CROWD = 1 << 14, 64
 FAR, PLACES = 32, 4
@@ -275,6 +277,7 @@ class _Shard:
         width = np.int64(len(words.hash) + 1)
         keys, first = np.unique(runs[:, 0] * width + runs[:, 1], return_index=True)  # in order of place
         self.a, self.b = keys // width, keys % width
+        near = near[near[:, 1] - near[:, 0] >= SHINGLE]
         self.banded = np.isin(keys, near[:, 0] * width + near[:, 1])
         one, two = _Rolling(words.hash), _Rolling(words.hash, 1)
         self.name = one(self.a, self.b)
@@ -297,6 +300,21 @@ def _hex(name: int, more: int) -> str:
     return f"{name:016x}{more:08x}"
 
 
+def _distinct(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """How many different shingles each range has."""
+    sizes = ends - starts
+    if not len(starts):
+        return sizes
+    order = np.argsort(hashes, kind="stable")
+    again = np.flatnonzero(hashes[order[1:]] == hashes[order[:-1]])
+    before = np.full(len(hashes) + 1, -1)  # where the same shingle was last
+    before[order[again + 1]] = order[again]
+    repeats = np.maximum.reduceat(before, np.stack([starts, ends], axis=1).ravel())[::2] >= starts
+    for i in np.flatnonzero(repeats).tolist():
+        sizes[i] = np.count_nonzero(before[starts[i] : ends[i]] < starts[i])
+    return sizes
+
+
 def _level(sizes: np.ndarray) -> np.ndarray:
     """Sizes by steps of a hundredth, so that two bytes hold them."""
     return np.floor(np.log(np.maximum(sizes, 1)) * 100).astype(np.uint16)
@@ -305,7 +323,7 @@ def _level(sizes: np.ndarray) -> np.ndarray:
 _SURVEY = pa.schema([("target", pa.int64()), ("shard", pa.int64()), ("names", pa.binary()), ("more", pa.binary()), ("ids", pa.binary()), ("many", pa.binary()), ("counts", pa.binary()), ("keys", pa.binary()), ("owners", pa.binary()), ("levels", pa.binary())])
 
 
-def _survey(targets: int, least_line: int, least_run: int, bands: int, rows: int):
+def _survey(targets: int, least_line: int, least_run: int, bands: int, rows: int, similarity: float):
     def run(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
         found = _Shard(table, least_line, least_run)
@@ -315,8 +333,12 @@ def _survey(targets: int, least_line: int, least_run: int, bands: int, rows: int
         ids = found.ids[found.of[found.lead]]
         banded = np.unique(found.which[found.banded])
         a, b = found.a[found.lead[banded]], found.b[found.lead[banded]]
-        keys = band_keys(_shingles(found.words.hash), a, b - SHINGLE + 1, bands, rows).ravel()
-        owners, levels = np.repeat(found.names[banded], bands), np.repeat(_level(b - a - SHINGLE + 1), bands)
+        hashes, last = _shingles(found.words.hash), b - SHINGLE + 1
+        sizes = _distinct(hashes, a, last)
+        few = sizes < similarity * (sizes + 1)  # only an equal set is that similar, and it has each band's key
+        use = np.broadcast_to(~few[:, None] | (np.arange(bands) == 0), (len(a), bands))
+        keys = band_keys(hashes, a, last, bands, rows)[use]
+        owners, levels = np.repeat(found.names[banded], use.sum(axis=1)), np.repeat(_level(sizes), use.sum(axis=1))
         # of a text's equal keys one is enough, and its bands differ by construction
         at_names, at_keys = dict(_groups(_target(found.names, targets))), dict(_groups(_target(keys, targets)))
         none = np.zeros(0, np.int64)
@@ -541,7 +563,7 @@ def _finish():
 
 
 def duplicates(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, hot: int = HOT, least_line: int = SHINGLE, least_run: int = MIN_WORDS
+    docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, hot: int = HOT, least_line: int = 1, least_run: int = PASSAGE
 ) -> DataFrame:
     """doc_id, start, n_words, component_id, component_size, kept_doc_id, removed and end of each repeated paragraph.
 
@@ -550,15 +572,15 @@ def duplicates(
     and its sentences are told each; what goes is the union of all removed places. ``least_line`` and
     ``least_run`` are the words that a line or block, and a passage within, have at least.
     """
-    if least_line < SHINGLE:
-        raise ValueError(f"a line without {SHINGLE} words has no shingle")
+    if least_line < 1:
+        raise ValueError("a line has a word at least")
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     total = int(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     parts = shuffle_partitions(docs.sparkSession)
     shards, targets = max(parts, -(-total // SHARD_BYTES)), max(parts, -(-total // TARGET_BYTES))
     bands, minima = tune_bands(similarity)
     sharded = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("long"))
-    survey = sharded.groupBy("shard").applyInArrow(*_survey(targets, least_line, least_run, bands, minima))
+    survey = sharded.groupBy("shard").applyInArrow(*_survey(targets, least_line, least_run, bands, minima, similarity))
     shared = survey.groupBy("target").applyInArrow(*_shared(hot, similarity))
     sent = checkpoint(sharded.groupBy("shard").cogroup(shared.groupBy("shard")).applyInArrow(*_send(targets, least_line, least_run, similarity)))
     texts = sent.where("texts is not null").select("target", "texts")

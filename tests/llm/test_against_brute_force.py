@@ -520,6 +520,38 @@ def test_repeated_passages_are_found_whole(spark, rows):
     assert n > 50
 
 
+def test_the_query_compares_short_lines_and_passages(spark, tmp_path):
+    line, passage = " ".join(f"l{i}" for i in range(12)), "p0 p1 p2 p3 p4 p5 p6 p7 p8."
+    texts = {
+        1: f"Home\na b c d\nb c d e f g\n{line}\nq0 q1. {passage} q2\nx x x x x",
+        2: "r1 r2 r3\nHome", 3: "a b c d\nr4 r5 r6", 4: f"r7\n{line} more", 5: f"r8 r9. {passage} r10 r11", 6: "x" + " x" * 29, 7: "a b c\nc d e f g\nr12", 8: "r13 \n b  c d e f g",
+    }
+    goes = {2: "Home", 3: "a b c d", 4: f"{line} more", 5: passage, 6: texts[6], 8: "b  c d e f g"}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows = queries.op4_paragraphs(spark, str(tmp_path)).collect()
+    assert {(r.doc_id, texts[r.doc_id][r.start : r.end]) for r in rows if r.removed} == set(goes.items())
+    assert {r.kept_doc_id for r in rows} == {1} and {r.doc_id for r in rows if not r.removed} == {1}
+
+
+def test_every_repeated_line_is_found(spark, rows):
+    """Lines of any length that a document before has too, counted by plain statements."""
+    gone, lines, first = defaultdict(set), [], {}
+    for r in queries.op4_paragraphs(spark, SF).collect():
+        if r.removed:
+            gone[r.doc_id] |= set(range(r.start, r.end))
+    for i, text, _ in sorted(rows):
+        at = 0
+        for x in text.encode().split(b"\n"):
+            if words := tuple(re.findall(rb"[^\x20\x09-\x0D]+", x)):
+                lead = at + x.index(words[0])
+                lines.append((i, words, lead, lead + len(x.strip())))
+                first.setdefault(words, i)
+            at += len(x) + 1
+    again = [(i, words, start, end) for i, words, start, end in lines if first[words] != i]
+    assert all(set(range(start, end)) <= gone[i] for i, _, start, end in again)
+    assert sum(len(words) < 5 for _, words, _, _ in again) > 20 and sum(5 <= len(words) < 20 for _, words, _, _ in again) > 20
+
+
 def test_crowds_are_compared_exactly():
     random.seed(4)
     base = [{random.getrandbits(60) for _ in range(50)} for _ in range(12)]
