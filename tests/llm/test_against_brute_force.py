@@ -15,7 +15,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from corpusloom.llm import bpe, chat, common, host_rules, media, mixing, paragraphs, queries, simhash, suffix, toxicity
+from corpusloom.llm import bpe, bradley_terry, chat, common, host_rules, media, mixing, paragraphs, queries, simhash, suffix, toxicity
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -593,6 +593,44 @@ def test_quality_on_held_out_rows(spark):
     assert sum(p == y for p, y in rows) / len(rows) > 0.97
 
 
+def _labelled(spark, n, seed):
+    """Documents of random words whose labels follow their digits, with noise, and the rows to learn from."""
+    rng = random.Random(seed)
+    docs = [(i, " ".join("".join(rng.choice("abcXYZ12.,!#\n") for _ in range(rng.randint(1, 12))) for _ in range(rng.randint(3, 15)))) for i in range(n)]
+    labels = [(i, int(sum(map(str.isdigit, t)) / len(t) + rng.gauss(0, 0.06) > 0.17)) for i, t in docs]
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    return docs, [(i, y) for i, y in labels if common.fold_of(i, 5)], {r.doc_id: r for r in bradley_terry.score(*frames).collect()}
+
+
+def test_quality_is_learned_from_all_pairs(spark):
+    """Scores are those of a plain gradient on every pair of labelled rows."""
+    docs, learn, found = _labelled(spark, 250, 5)
+    x = np.array([bradley_terry.describe(t.encode()) for _, t in docs], np.float32).astype(np.float64)
+    good, bad = (x[[i for i, y in learn if y == side]] for side in (1, 0))
+    d = (good[:, None] - bad[None]).reshape(-1, x.shape[1])
+    w = np.zeros(x.shape[1])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-d @ w))
+        w += np.linalg.solve((d * (p * (1 - p))[:, None]).T @ d / len(d) + 1e-3 * np.eye(len(w)), d.T @ (1 - p) / len(d) - 1e-3 * w)
+    raw = x @ w
+    least = np.sort(raw[[i for i, _ in learn]])
+    wanted = 1 / (1 + np.exp(-(raw - least[len(bad) - 1 : len(bad) + 1].mean() + np.log(0.3 / 0.7))))
+    assert min(len(good), len(bad)) > 50 and max(abs(found[i].score - wanted[i]) for i, _ in docs) < 1e-6
+
+
+def test_quality_cut_is_the_quantile_of_all_labelled_rows(spark):
+    _, learn, found = _labelled(spark, 30_000, 6)
+    assert len(learn) > 20_000 and sum(found[i].predicted for i, _ in learn) == sum(y for _, y in learn)
+
+
+def test_midpoint_of_two_ranks(spark):
+    values = [0.5, -3.0, 1e-300, 2.0, 2.0, 2.0, 7e8, 0.1, 0.1 + 1e-16]
+    frame = spark.createDataFrame([(v,) for v in values], "raw double")
+    for k in range(1, len(values)):
+        low, high = sorted(values)[k - 1 : k + 1]
+        assert bradley_terry.midpoint(frame, k) == (low + high) / 2
+
+
 def _planted_votes(rng, n=4000):
     """Ten voters after the forms: 0 to 5 independent, 6 to 9 copies of one source; 5 is right half the time only."""
     y = rng.random(n) < 0.2
