@@ -50,7 +50,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, pack, shuffle_partitions, unpack
+from .common import checkpoint, map_arrow, pack, shuffle_partitions, unpack
 from .simhash import components
 from .suffix import SHARD_BYTES, TARGET_BYTES, _groups, _table, _target
 
@@ -66,6 +66,8 @@ _rng = np.random.default_rng(20)
 _A = _rng.integers(1, 1 << 63, MINIMA, dtype=np.uint64) | np.uint64(1)
 _B = _rng.integers(1, 1 << 63, MINIMA, dtype=np.uint64)
 _NONE = np.iinfo(np.int64).min
+#: Texts of a key are told apart by 48 of their names' 64 bits.
+_TOLD_APART = np.uint64(16)
 
 
 def recall(similarity: float, bands: int, rows: int) -> float:
@@ -261,12 +263,24 @@ def linked(sets: list[set[int]], similarity: float = SIMILARITY) -> list[tuple[i
 
 
 # -- the passes --
+def _packed(rows: DataFrame) -> DataFrame:
+    """The texts compressed, one by one, for the shuffle."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        small = zstandard.ZstdCompressor(3)
+        data = [None if x is None else small.compress(x) for x in batch.column(1).cast(pa.binary()).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary()), batch.column(2)], ["doc_id", "text", "shard"])
+
+    return map_arrow(rows, ["doc_id", "text", "shard"], run, "doc_id long, text binary, shard long")
+
+
 class _Shard:
     """All runs of a shard's documents, in order of the documents, and its distinct names in order."""
 
     def __init__(self, table: pa.Table, least_line: int, least_run: int):
         ids = table.column("doc_id").to_pylist()
-        texts = [x or b"" for x in table.column("text").cast(pa.binary()).to_pylist()]
+        whole = zstandard.ZstdDecompressor()
+        texts = [b"" if x is None else whole.decompress(x) for x in table.column("text").to_pylist()]
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, texts[i]))
         self.ids = np.array([_NONE if ids[i] is None else ids[i] for i in order], np.int64)
         same = np.flatnonzero(np.r_[True, self.ids[1:] != self.ids[:-1]]) if len(ids) else np.zeros(0, np.int64)
@@ -302,6 +316,8 @@ def _hex(name: int, more: int) -> str:
 
 def _distinct(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """How many different shingles each range has."""
+    by = np.argsort(starts, kind="stable")  # between ranges in order there are no long gaps, which would be read too
+    starts, ends = starts[by], ends[by]
     sizes = ends - starts
     if not len(starts):
         return sizes
@@ -312,7 +328,9 @@ def _distinct(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     repeats = np.maximum.reduceat(before, np.stack([starts, ends], axis=1).ravel())[::2] >= starts
     for i in np.flatnonzero(repeats).tolist():
         sizes[i] = np.count_nonzero(before[starts[i] : ends[i]] < starts[i])
-    return sizes
+    out = np.empty_like(sizes)
+    out[by] = sizes
+    return out
 
 
 def _level(sizes: np.ndarray) -> np.ndarray:
@@ -338,7 +356,7 @@ def _survey(targets: int, least_line: int, least_run: int, bands: int, rows: int
         few = sizes < similarity * (sizes + 1)  # only an equal set is that similar, and it has each band's key
         use = np.broadcast_to(~few[:, None] | (np.arange(bands) == 0), (len(a), bands))
         keys = band_keys(hashes, a, last, bands, rows)[use]
-        owners, levels = np.repeat(found.names[banded], use.sum(axis=1)), np.repeat(_level(sizes), use.sum(axis=1))
+        owners, levels = np.repeat(found.names[banded] >> _TOLD_APART, use.sum(axis=1)), np.repeat(_level(sizes), use.sum(axis=1))
         # of a text's equal keys one is enough, and its bands differ by construction
         at_names, at_keys = dict(_groups(_target(found.names, targets))), dict(_groups(_target(keys, targets)))
         none = np.zeros(0, np.int64)
@@ -442,11 +460,16 @@ def _send(targets: int, least_line: int, least_run: int, similarity: float):
         total[at], first[at], apart[at] = _all(shared, "totals", np.int64)[0], _all(shared, "firsts", np.int64)[0], _all(shared, "apart", np.uint8)[0]
         keys, per = _all(shared, "keys", np.uint32)
         key = np.repeat(np.array(shared.column("target").to_pylist(), np.int64), per) << 32 | keys.astype(np.int64)
-        speaks = np.searchsorted(found.names, _all(shared, "owners", np.uint64)[0])
+        near = np.unique(found.which[found.banded])
+        known, owners = found.names[near] >> _TOLD_APART, _all(shared, "owners", np.uint64)[0]
+        at = np.searchsorted(known, owners)
+        many = np.searchsorted(known, owners, side="right") - at  # texts of one short name all speak
+        speaks = near[np.repeat(at - np.cumsum(many) + many, many) + np.arange(many.sum())]
+        key, kinds = np.repeat(key, many), np.repeat(_all(shared, "kinds", np.uint8)[0], many)
         out: list[tuple] = []
         texts: dict[int, bytes] = {}
         sent: dict[int, list[tuple[int, int]]] = defaultdict(list)  # target: keys and texts
-        for i, k, kind in zip(speaks.tolist(), key.tolist(), _all(shared, "kinds", np.uint8)[0].tolist()):
+        for i, k, kind in zip(speaks.tolist(), key.tolist(), kinds.tolist()):
             if i not in texts:
                 texts[i] = found.words.normal(int(found.a[found.lead[i]]), int(found.b[found.lead[i]]))
             if kind == _MET:
@@ -485,6 +508,7 @@ def _send(targets: int, least_line: int, least_run: int, similarity: float):
                 places = (first_["id"], first_["copy"], first_["start"], first_["end"], last_["id"], m["copy"].max(), m["start"].max())
                 names = ("first_id", "first_copy", "first_start", "first_end", "last_id", "last_copy", "last_start")
                 out.append((shard, None, None, label(int(kept[u])), {"n": len(m)} | dict(zip(names, map(int, places))), None, None))
+        members["start"], members["end"] = _steps(members["start"]), members["end"] - members["start"]
         out.append((shard, *(None,) * 4, pack(members), pack(units)))
         return _table(out, _SENT)
 
@@ -523,7 +547,8 @@ def _finish():
         if not packed.num_rows:
             return _TOLD.empty_table()
         m, u = unpack(packed.column("members")[0].as_py(), _MEMBER), unpack(packed.column("units")[0].as_py(), _UNIT)
-        start, end, unit = m["start"].astype(np.int64), m["end"].astype(np.int64), m["unit"].astype(np.int64)
+        start = np.cumsum(m["start"], dtype=np.uint32).astype(np.int64)
+        end, unit = start + m["end"], m["unit"].astype(np.int64)
         order = np.argsort(unit, kind="stable")  # members are in order of place
         begin = np.flatnonzero(np.r_[True, np.diff(unit[order]) != 0])
         lead, last = order[begin], order[np.r_[begin[1:] - 1, len(order) - 1]]
@@ -579,7 +604,7 @@ def duplicates(
     parts = shuffle_partitions(docs.sparkSession)
     shards, targets = max(parts, -(-total // SHARD_BYTES)), max(parts, -(-total // TARGET_BYTES))
     bands, minima = tune_bands(similarity)
-    sharded = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("long"))
+    sharded = _packed(rows.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("long")))
     survey = sharded.groupBy("shard").applyInArrow(*_survey(targets, least_line, least_run, bands, minima, similarity))
     shared = survey.groupBy("target").applyInArrow(*_shared(hot, similarity))
     sent = checkpoint(sharded.groupBy("shard").cogroup(shared.groupBy("shard")).applyInArrow(*_send(targets, least_line, least_run, similarity)))
