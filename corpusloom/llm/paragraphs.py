@@ -54,9 +54,9 @@ from .common import checkpoint, map_arrow, pack, shuffle_partitions, unpack
 from .simhash import components
 from .suffix import SHARD_BYTES, TARGET_BYTES, _groups, _table, _target
 
-SHINGLE, SIMILARITY, MIN_WORDS = 5, 0.8, 8
-#: Words of the least passage within a paragraph that is compared; paragraphs are compared whatever their length.
-PASSAGE = MIN_WORDS
+SHINGLE, SIMILARITY = 5, 0.8
+#: Words of the least passage within a paragraph that is compared: one shingle. Paragraphs are compared whatever their length.
+PASSAGE = SHINGLE
 BANDS, ROWS, MINIMA, WANTED = 6, 2, 12, 0.995
 HOT, CROWD = 1 << 14, 64
 FAR, PLACES = 32, 4

@@ -521,7 +521,7 @@ def test_repeated_passages_are_found_whole(spark, rows):
 
 
 def test_the_query_compares_short_lines_and_passages(spark, tmp_path):
-    line, passage = " ".join(f"l{i}" for i in range(12)), "p0 p1 p2 p3 p4 p5 p6 p7 p8."
+    line, passage = " ".join(f"l{i}" for i in range(12)), "p0 p1 p2 p3 p4."
     texts = {
         1: f"Home\na b c d\nb c d e f g\n{line}\nq0 q1. {passage} q2\nx x x x x",
         2: "r1 r2 r3\nHome", 3: "a b c d\nr4 r5 r6", 4: f"r7\n{line} more", 5: f"r8 r9. {passage} r10 r11", 6: "x" + " x" * 29, 7: "a b c\nc d e f g\nr12", 8: "r13 \n b  c d e f g",
