@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .textkit import strip
+from .textkit import each, strip
 
 
 def normalized(text: Column) -> Column:
@@ -14,6 +15,19 @@ def normalized(text: Column) -> Column:
     return strip(F.regexp_replace(t, r"(?U)[^\p{L}\p{N}_\s\x1c-\x1f]", ""))
 
 
+def _token_words(texts: pa.Array) -> pa.Array:
+    def of(text: str) -> dict:
+        tokens = sorted(set(text.split(" ")) - {""})
+        return {"words": " ".join(tokens), "n": len(tokens)}
+
+    return each(of, pa.struct([("words", pa.string()), ("n", pa.int32())]), texts)
+
+
+def token_words(text: Column) -> Column:
+    """struct<words, n>: the sorted distinct tokens of the normalized text, joined by blanks, and their number."""
+    return F.arrow_udf(_token_words, "struct<words:string,n:int>")(normalized(text))
+
+
 def content_hash(text: Column) -> Column:
     return F.sha2(normalized(text), 256)
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,6 +24,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
 
 
+#: Rows whose results an Arrow function holds as Python objects at a time.
+PIECE = 256
+
+
+def each(f: Callable, kind: pa.DataType, *columns: pa.Array) -> pa.Array:
+    """``f`` of each row, as an Arrow array; a piece of the rows at a time is held as Python objects."""
+    pieces = [pa.array([f(*(x.as_py() for x in row)) for row in zip(*(c.slice(at, PIECE) for c in columns))], kind) for at in range(0, len(columns[0]), PIECE)]
+    return pa.concat_arrays(pieces) if pieces else pa.array([], kind)
+
+
 def words(text: Column) -> Column:
     """Maximal runs of word characters."""
     return F.regexp_extract_all(text, F.lit(f"{WORD_CHAR}+"), F.lit(0))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 import os
+import random
 
 import duckdb
 import pytest
@@ -194,3 +195,26 @@ def test_a_version_counts_once_its_pointer_is_there(spark, tmp_path):
 def test_near_duplicates_are_ranked(spark):
     pairs = spark.createDataFrame([(1, 2, 0.9), (1, 3, 0.95), (2, 3, 0.9)], "id_a long, id_b long, similarity double")
     assert sorted((r.id, r.rank, r.other) for r in dedup.ranked(pairs).collect()) == [(1, 1, 3), (1, 2, 2), (2, 1, 1), (2, 2, 3), (3, 1, 1), (3, 2, 2)]
+
+
+def test_near_duplicates_shuffle_no_row_for_a_token(spark):
+    plan = dedup.near_duplicates(spark.createDataFrame([(1, "a b c d e")], "doc_id long, text string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan and "AS token" not in plan
+
+
+def test_near_duplicates_against_all_pairs(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(300)] + ["\u0d91\u0d9a", "\u00e9t\u00e9"]
+    texts = [rng.sample(vocabulary, rng.choice([5, 8, 9, 10, 11, 19, 20, 40, 41, 99, 100, 180])) for _ in range(60)]
+    for base in texts[:50]:
+        for _ in range(3):
+            kept = rng.sample(base, len(base) - rng.randint(0, len(base) // 8))
+            texts.append(kept + rng.sample(vocabulary, rng.randint(0, len(base) // 12)))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    first: dict[frozenset, int] = {}
+    for i, t in enumerate(texts):
+        if len(set(t)) >= 5:
+            first.setdefault(frozenset(t), i)
+    for threshold in (0.8, 0.9, 0.95):
+        expected = {(i, j) for a, i in first.items() for b, j in first.items() if i < j and len(a & b) / len(a | b) >= threshold}
+        assert {(r.id_a, r.id_b) for r in dedup.near_duplicates(docs, threshold=threshold).collect()} == expected and expected
