@@ -16,10 +16,10 @@ def script_counts(text: Column) -> Column:
     """struct<total, sinhala, tamil, latin> of counted characters; white space and common marks don't count."""
 
     def counts(counted: Column) -> Column:
-        each = [F.length(F.regexp_replace(counted, f"[^{r}]", "")).alias(n) for n, r in RANGES.items()]
+        each = [F.length(F.regexp_replace(counted, f"[^{r}]+", "")).alias(n) for n, r in RANGES.items()]
         return F.struct(F.length(counted).alias("total"), *each)
 
-    return let(F.regexp_replace(F.coalesce(text, F.lit("")), SKIPPED, ""), counts)
+    return let(F.regexp_replace(F.coalesce(text, F.lit("")), SKIPPED + "+", ""), counts)
 
 
 def script_shares(text: Column) -> Column:

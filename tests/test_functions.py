@@ -245,3 +245,28 @@ def test_primitives_equal_pythons(on):
         assert on(texts, preprocess.compose) == [unicodedata.normalize("NFC", t) for t in texts]
 
     check()
+
+
+def test_each_holds_a_piece_of_the_rows_at_a_time():
+    import pyarrow as pa
+
+    from corpusloom.functions import textkit
+
+    texts = pa.array([None if i % 7 == 0 else f"x{i}" for i in range(3 * textkit.PIECE + 5)])
+    assert textkit.each(lambda t: t, pa.string(), texts).equals(texts)
+    assert textkit.each(lambda t: t, pa.string(), texts.slice(3, 0)).equals(pa.array([], pa.string()))
+
+
+def test_intents_need_a_word_of_their_pattern(on):
+    assert intents.needed(r"how\s+to\s+(?:get|make|book)\s+(?:an?\s+)?appointment") == ["appointment"]
+    assert intents.needed(r"(?:closing|opening|close|open)\s*(?:hours?|time)?") == ["closing", "opening", "close", "open"]
+    assert intents.needed(r"what\s+(?:is|are)\s+the\s+symptoms?") == ["symptom"] and intents.needed("1990|911|help") == ["1990", "911", "help"]
+    rows = on(["HOW TO\nGET an Appointment", "directions", "What Is", "ſchedule"], intents.classify)
+    assert [g["intent"] for g in rows] == ["asking_appointment", "asking_location", "general_info", "unknown"]
+
+
+def test_python_is_given_marked_texts_alone(on):
+    texts = ["no mark", None, "", "call 0771234567", "a@b.lk", "๑๒๓๔๕๖๗๘๙๐", "é"]
+    got = on(texts, preprocess.personal_data)
+    assert [None if g is None else [p["kind"] for p in g] for g in got] == [[], None, [], ["PHONE"] * 3, ["EMAIL"], ["PHONE"] * 2, []]
+    assert not preprocess.matches("x" * 50) and preprocess.matches("a@b.lk")[0][3] == "EMAIL"
