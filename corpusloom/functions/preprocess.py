@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import reduce
+from operator import or_
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from .lexicons import SPELLINGS
-from .textkit import WORD_CHAR, strip, whole
+from .textkit import WORD_CHAR, each, let, strip, whole
 
 _B, _E = f"(?<!{WORD_CHAR})", f"(?!{WORD_CHAR})"
 _LETTER = "[A-Za-z]"
@@ -26,14 +26,16 @@ NICS = (f"{_B}\\d{{9}}[VXvx]{_E}", f"{_B}\\d{{12}}{_E}")
 KINDS = tuple(("PHONE", p) for p in PHONES) + (("EMAIL", EMAIL),) + tuple(("NIC", p) for p in NICS)
 
 
-@F.pandas_udf(StringType())
-def _composed(text: pd.Series) -> pd.Series:
-    return text.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
+def _composed(texts: pa.Array) -> pa.Array:
+    return each(lambda t: None if t is None else unicodedata.normalize("NFC", t), pa.string(), texts)
 
 
 def compose(text: Column) -> Column:
-    """Canonical composition; the one step that no built-in expression has (ASCII is composed already)."""
-    return F.when(text.rlike(r"[^\x00-\x7F]"), _composed(text)).otherwise(text)
+    """Canonical composition; the one step that no built-in expression has.
+
+    ASCII is composed already. An Arrow function is run for all rows, whatever branch it stands in, so other texts alone are given to it.
+    """
+    return F.coalesce(F.arrow_udf(_composed, "string")(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text)
 
 
 def clean(text: Column, composed: bool = True) -> Column:
@@ -48,21 +50,29 @@ def clean(text: Column, composed: bool = True) -> Column:
 
 def normalize_spelling(text: Column, spellings: dict[str, str] = SPELLINGS) -> Column:
     """Lower case, and known misspellings of whole words corrected."""
-    t = F.lower(text)
-    for wrong, right in spellings.items():
-        t = F.regexp_replace(t, whole(wrong), right)
-    return t
+
+    def corrected(lower: Column) -> Column:
+        t = lower
+        for wrong, right in spellings.items():
+            t = F.regexp_replace(t, whole(wrong), right)
+        # the plain look-up rules nearly all texts out; a correction may make another one's word
+        return F.when(reduce(or_, (F.contains(lower, F.lit(x)) for x in spellings)), t).otherwise(lower) if spellings else lower
+
+    return let(F.lower(text), corrected)
 
 
 _FOUND = "array<struct<start:int,ord:int,end:int,kind:string,text:string>>"
 _MATCH = pa.list_(pa.struct([("start", pa.int32()), ("ord", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("text", pa.string())]))
 _PRIVATE = pa.struct([("masked", pa.string()), ("pii", _MATCH)])
+_MARK = re.compile(r"[\d@]")
 _COMPILED = [re.compile(p.replace(WORD_CHAR, r"\w")) for _, p in KINDS]
 
 
 def matches(text: str) -> list[tuple[int, int, int, str, str]]:
     """(start, number of the pattern, end, kind, text) of all matches of all patterns, by start, then by pattern."""
     found = []
+    if not _MARK.search(text):  # every pattern has one of these in it
+        return found
     for i, ((kind, _), pattern) in enumerate(zip(KINDS, _COMPILED)):
         if kind == "EMAIL":  # only runs with the sign are looked at, with the letter that follows them
             runs = [m for at in _mail_runs(text) for m in pattern.finditer(text, at[0], min(len(text), at[1] + 1))]
@@ -115,21 +125,32 @@ def masked(text: str, found: list[tuple], mask_string: str = "[REDACTED]") -> st
 def _private(text: Column, mask_string: str = "[REDACTED]") -> Column:
     """struct<masked, pii> of a text, in one pass for each pattern."""
 
+    def of(t: str | None) -> dict | None:
+        found = matches(t or "")
+        return None if t is None else {"masked": masked(t, found, mask_string), "pii": _rows(found)}
+
     @F.arrow_udf(f"struct<masked:string,pii:{_FOUND}>")
     def run(texts: pa.Array) -> pa.Array:
-        out = []
-        for t in texts.to_pylist():
-            found = matches(t or "")
-            rows = [dict(zip(("start", "ord", "end", "kind", "text"), m)) for m in found]
-            out.append(None if t is None else {"masked": masked(t, found, mask_string), "pii": rows})
-        return pa.array(out, _PRIVATE)
+        return each(of, _PRIVATE, texts)
 
     return run(text)
 
 
+def _rows(found: list[tuple]) -> list[dict]:
+    return [dict(zip(("start", "ord", "end", "kind", "text"), m)) for m in found]
+
+
+def _personal(texts: pa.Array) -> pa.Array:
+    return each(lambda t: None if t is None else _rows(matches(t)), _MATCH, texts)
+
+
 def personal_data(text: Column) -> Column:
-    """array<struct<start,ord,end,kind,text>> of all matches of all patterns, by start, then by pattern."""
-    return _private(text)["pii"]
+    """array<struct<start,ord,end,kind,text>> of all matches of all patterns, by start, then by pattern.
+
+    Every pattern has a digit or an @ in it, and Python is given texts that have one (digits beyond ASCII count).
+    """
+    marked = F.when(F.contains(text, F.lit("@")) | text.rlike("[0-9]") | text.rlike(r"[^\x00-\x7F]"), text)
+    return F.when(text.isNotNull(), F.coalesce(F.arrow_udf(_personal, _FOUND)(marked), F.expr(f"cast(array() as {_FOUND})")))
 
 
 ENDS = {"sinhala": ".!?។", "tamil": ".!?।"}
