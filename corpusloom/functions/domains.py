@@ -9,9 +9,19 @@ from .lexicons import DOMAIN_DESCRIPTIONS, DOMAINS
 from .textkit import let, quote, whole, words
 
 
+def _simple(keywords) -> list[str]:
+    """The keywords that are looked up among the words."""
+    return [k for k in keywords if k.isascii() and k.isalnum()]
+
+
+def _own(lower: Column, keywords) -> Column:
+    """Those of the words that are keywords: few, so that each look-up is short."""
+    return F.array_intersect(words(lower), F.array(*[F.lit(k.lower()) for k in _simple(keywords)]).cast("array<string>"))
+
+
 def _matched(text: Column, lower: Column, own: Column, keywords: tuple[str, ...], indic: bool) -> Column:
     """Distinct keywords found, in the lexicon's order. Single ASCII words are looked up among the words."""
-    simple = [k for k in keywords if k.isascii() and k.isalnum()]
+    simple = _simple(keywords)
     tests = []
     for k in keywords:
         if k in simple:
@@ -45,7 +55,7 @@ def tag(text: Column, domains: dict[str, tuple[str, ...]] = DOMAINS, indic_bound
     def ranked(hit: Column) -> Column:
         return F.array_sort(F.transform(hit, lambda r: F.struct((-score(r)).alias("rank"), r["ordinal"].alias("ordinal"), r["domain"].alias("domain"), score(r).alias("confidence"), r["keywords"].alias("keywords"))))
 
-    found = let(F.lower(t), lambda lower: let(words(lower), lambda own: hits(lower, own)))
+    found = let(F.lower(t), lambda lower: let(_own(lower, [k for own in domains.values() for k in own]), lambda own: hits(lower, own)))
     return let(found, lambda hit: let(ranked(hit), lambda best: _tagged(t, hit, best)))
 
 
