@@ -288,7 +288,7 @@ def near_duplicates(spark, sf_dir):
 
 @query
 def token_set_classes(spark, sf_dir):
-    return dedup.classes(docs(spark, sf_dir)).select(F.col("id").alias("doc_id"), "class_id", F.size("tokens").alias("n_tokens"))
+    return dedup.class_rows(docs(spark, sf_dir), "doc_id", "text", 5).select(F.col("id").alias("doc_id"), "class_id", F.col("n").alias("n_tokens"))
 
 
 @query
