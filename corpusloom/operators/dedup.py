@@ -133,7 +133,8 @@ def _parts(threshold: float):
 
 def ranked(pairs: DataFrame) -> DataFrame:
     """id, other, similarity and rank of each pair from both sides: a row's near duplicates, the most similar first."""
-    both = pairs.select(F.col("id_a").alias("id"), F.col("id_b").alias("other"), "similarity").union(pairs.select("id_b", "id_a", "similarity"))
+    sides = F.array(*[F.struct(F.col(x).alias("id"), F.col(y).alias("other")) for x, y in (("id_a", "id_b"), ("id_b", "id_a"))])
+    both = pairs.select(F.explode(sides).alias("s"), "similarity").select("s.id", "s.other", "similarity")  # a union would make the pairs twice
     return both.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("similarity"), "other")))
 
 

@@ -218,3 +218,8 @@ def test_near_duplicates_against_all_pairs(spark):
     for threshold in (0.8, 0.9, 0.95):
         expected = {(i, j) for a, i in first.items() for b, j in first.items() if i < j and len(a & b) / len(a | b) >= threshold}
         assert {(r.id_a, r.id_b) for r in dedup.near_duplicates(docs, threshold=threshold).collect()} == expected and expected
+
+
+def test_ranks_make_the_pairs_once(spark):
+    pairs = spark.createDataFrame([(1, 2, 0.9)], "id_a long, id_b long, similarity double")
+    assert "Union" not in dedup.ranked(pairs)._jdf.queryExecution().optimizedPlan().toString()
